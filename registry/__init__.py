@@ -1 +1,16 @@
 """Queries over the test tables and the SQL that checks them."""
+
+
+def all_queries():
+    from registry import scalar_queries, report_queries, storm_queries, io_queries  # noqa: F401
+    from registry.catalog import QUERIES
+
+    return dict(QUERIES)
+
+
+def all_oracles():
+    from registry import oracle_io, oracle_report, oracle_scalar, oracle_storm
+
+    return {
+        **oracle_scalar.ORACLES, **oracle_report.ORACLES, **oracle_storm.ORACLES, **oracle_io.ORACLES
+    }

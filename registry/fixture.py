@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.functions.times import to_epoch_ns
+from gridgale.functions.times import from_epoch_ns, to_epoch_ns
 from gridgale.grid import GridSpec
-from gridgale.operators.merge import merge_weather, dashboard_table
+from gridgale.operators.merge import dashboard_table, merge_weather
 
 SPEC = GridSpec(ny=20, nx=15, north=24.0, west=102.0)
 
@@ -93,3 +93,11 @@ def terrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = grid(spark, sf_dir).select("iy", "ix", "latitude", "longitude").distinct()
     elevation = ((F.col("iy") * 97 + F.col("ix") * 53) % 1500).cast("double")
     return cells.select("latitude", "longitude", elevation.alias("elevation"))
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations as a producer sees them: instants instead of nanoseconds."""
+    w = weather(spark, sf_dir)
+    return w.withColumns(
+        {n: from_epoch_ns(F.col(n)) for n in ("time", "valid_time")} | {"step": F.lit("0 days 00:00:00")}
+    )
