@@ -89,7 +89,8 @@ def measure_regions(cells: DataFrame, spec: GridSpec, params: DetectParams) -> D
     """One row per region (`time`, `label`) with its sizes, extremes and positions.
 
     Rows of the grid are folded first, map-side, then the region's rows: what reaches
-    a region is at most one record per grid row.
+    a region is at most one record per grid row. `interior_cells` lists raster
+    positions; it costs nothing where it is not used.
     """
     v, sv = F.col("v"), F.lit(params.sign) * F.col("v")
     inside, ring = F.col("interior"), ~F.col("interior")
@@ -108,6 +109,7 @@ def measure_regions(cells: DataFrame, spec: GridSpec, params: DetectParams) -> D
         F.sum(v).alias("mass"),
         F.sum(v * F.col("ix")).alias("mass_x"),
         F.min(F.struct(sv.alias("s"), F.col("ix").alias("ix"))).alias("low"),
+        F.collect_list(F.when(inside, F.col("cell"))).alias("in_cells"),
         *ring_columns,
         *[F.first(f).alias(f) for f in facts],
     )
@@ -133,6 +135,7 @@ def measure_regions(cells: DataFrame, spec: GridSpec, params: DetectParams) -> D
         F.try_divide(F.sum(F.col("n_in") * latitude), F.sum("n_in")).alias("interior_lat"),
         F.min(F.struct(F.col("low.s").alias("s"), F.col("iy").alias("iy"), F.col("low.ix").alias("ix"))).alias("low"),
         F.collect_list(ring_row).alias("_ring"),
+        F.array_sort(F.flatten(F.collect_list("in_cells"))).alias("interior_cells"),
         *[F.first(f).alias(f) for f in facts],
     )
     sign = F.lit(params.sign)
@@ -154,6 +157,7 @@ def measure_regions(cells: DataFrame, spec: GridSpec, params: DetectParams) -> D
         spec.latitude(F.col("low.iy")).alias("low_lat"),
         spec.longitude(F.col("low.ix")).alias("low_lon"),
         "interior_lat",
+        "interior_cells",
         *facts,
     )
 

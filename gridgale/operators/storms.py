@@ -77,28 +77,49 @@ def missing_positions(cells: DataFrame, spec: GridSpec, value: str = "msl") -> D
     return holes.groupBy("time").agg(F.collect_list(spec.raster(F.col("iy"), F.col("ix"))).alias("missing"))
 
 
-def interior_masks(
-    cells: DataFrame, storms: DataFrame, spec: GridSpec, missing: DataFrame | None = None
-) -> DataFrame:
+def _all_ones(storms: DataFrame, missing: DataFrame | None) -> DataFrame:
+    """Positions that are one in a storm's mask: its interior, and cells without data."""
+    if missing is None:
+        return storms.withColumn("_ones", F.col("interior_cells"))
+    none = F.array().cast("array<int>")
+    both = F.concat("interior_cells", F.coalesce("missing", none))
+    return storms.join(missing, "time", "left").withColumn("_ones", F.array_sort(both)).drop("missing")
+
+
+def interior_masks(storms: DataFrame, spec: GridSpec, missing: DataFrame | None = None) -> DataFrame:
     """(`time`, `label`, `mask`): the frame as 0/1, ones at the storm's interior and where data is missing."""
-    inside = (
-        cells.where("interior")
-        .join(storms.select("time", "label"), ["time", "label"], "left_semi")
-        .groupBy("time", "label")
-        .agg(F.collect_list("cell").alias("_p"))
+    return _all_ones(storms, missing).select("time", "label", _ones_at(F.col("_ones"), spec.cells).alias("mask"))
+
+
+def one_row_per_frame(storms: DataFrame, spec: GridSpec) -> DataFrame:
+    """The first storm of each frame, with the interiors of all its storms in label order."""
+    fields = {
+        "lon_storm": "lon",
+        "lat_storm": "lat",
+        "amp_storm": "amp_abs",
+        "max_wind_speed": "max_wind",
+        "area_storm": "area_km2",
+    }
+    listed = storms.groupBy("time").agg(
+        F.sort_array(
+            F.collect_list(F.struct("label", *[F.col(c).alias(n) for n, c in fields.items()], "interior_cells"))
+        ).alias("_s")
+    )
+    first = F.col("_s")[0]
+    return listed.select(
+        "time",
+        *[first[n].alias(n) for n in fields],
+        F.transform("_s", lambda s: s["interior_cells"]).alias("_interiors"),
     )
-    if missing is not None:
-        inside = inside.join(missing, "time", "left").withColumn(
-            "_p", F.concat("_p", F.coalesce("missing", F.array().cast("array<int>")))
-        )
-    return inside.select("time", "label", _ones_at(F.array_sort("_p"), spec.cells).alias("mask"))
 
 
-def mask_texts(masks: DataFrame, spec: GridSpec) -> DataFrame:
-    """All masks of a frame stacked in label order, as one text."""
-    stacked = masks.groupBy("time").agg(F.sort_array(F.collect_list(F.struct("label", "mask"))).alias("_m"))
-    flat = F.flatten(F.transform("_m", lambda m: m["mask"]))
-    return stacked.select("time", mask_text(flat, F.size("_m"), spec.ny, spec.nx).alias("regions_storm"))
+def mask_texts(interiors: str, missing: str, spec: GridSpec) -> Column:
+    """All masks of a frame, stacked in label order, as one text."""
+    none = F.array().cast("array<int>")
+    masks = F.transform(
+        interiors, lambda cells: _ones_at(F.array_sort(F.concat(cells, F.coalesce(missing, none))), spec.cells)
+    )
+    return mask_text(F.flatten(masks), F.size(interiors), spec.ny, spec.nx)
 
 
 def hourly_storms(
@@ -115,28 +136,27 @@ def hourly_storms(
 
     `threshold` is 1.5 degrees as in the notebook form of the job; the batch form used
     1. `emit_quiet_hours` adds a `-00` row for each time without a storm.
+
+    Frames are worked through once: their few storm rows are written out before ids
+    are given, since naming reads them several times.
     """
     cells, out_spec = region_cells(df, spec, params, regular)
     storms = rg.place(rg.accept(rg.measure_regions(cells, out_spec, params), out_spec, params), out_spec, params)
-    hours = first_per_frame(storms).select(
-        "time",
-        F.col("lon").alias("lon_storm"),
-        F.col("lat").alias("lat_storm"),
-        F.col("amp_abs").alias("amp_storm"),
-        F.col("max_wind").alias("max_wind_speed"),
-        F.col("area_km2").alias("area_storm"),
-    )
-    named = name_storms(hours, threshold, prefix)
+    hours = one_row_per_frame(storms, out_spec)
+    if not with_masks:
+        hours = hours.drop("_interiors")
+    named = name_storms(cut_lineage(hours), threshold, prefix)
     if with_masks:
-        smoothed, _ = smoothed_cells(df, spec, params, regular)
-        masks = interior_masks(cells, storms, out_spec, missing_positions(smoothed, out_spec))
-        named = named.join(mask_texts(masks, out_spec), "time", "left")
+        smoothed = pressure_cells(df, spec, regular)
+        if params.globe:
+            smoothed, _ = wrap_globe(smoothed, spec, params.globe_degrees)
+        named = named.join(missing_positions(smoothed, out_spec), "time", "left")
+        named = named.withColumn("regions_storm", mask_texts("_interiors", "missing", out_spec))
     else:
         named = named.withColumn("regions_storm", F.lit(None).cast("string"))
     if emit_quiet_hours:
-        named = df.select("time").distinct().join(named, "time", "left").withColumn(
-            "id", F.coalesce("id", F.lit(f"{prefix}-00"))
-        )
+        quiet = F.lit(f"{prefix}-00")
+        named = df.select("time").distinct().join(named, "time", "left").withColumn("id", F.coalesce("id", quiet))
     return named.select(
         "time", "id", "lon_storm", "lat_storm", "amp_storm", "max_wind_speed", "area_storm", "regions_storm"
     )
@@ -175,17 +195,18 @@ def detect_levels(
         left = low if taken is None else low.join(taken, ["time", "iy", "ix"], "left_anti")
         cells = label_cells(rg.masked_cells(left, spec, "msl", at_level), spec, rg.FRAME_FACTS)
         good = rg.place(rg.accept(rg.measure_regions(cells, spec, at_level), spec, at_level), spec, at_level)
-        inside = cells.where("interior").groupBy("time", "label").agg(
-            F.collect_list(F.struct("iy", "ix")).alias("interior_cells")
-        )
         step = cut_lineage(
-            good.join(inside, ["time", "label"]).select(
+            good.select(
                 "time", "label", F.lit(float(level)).alias("level"), F.lit(rank).alias("_rank"),
                 "lon", "lat", "amp_abs", "area_km2", "n_cells", "extent_km", "interior_cells",
             )
         )
         found.append(step)
-        cut = step.select("time", F.explode("interior_cells").alias("_c")).select("time", "_c.iy", "_c.ix")
+        cut = step.select("time", F.explode("interior_cells").alias("_c")).select(
+            "time",
+            F.floor(F.col("_c") / F.lit(spec.nx)).cast("int").alias("iy"),
+            (F.col("_c") % F.lit(spec.nx)).alias("ix"),
+        )
         taken = cut if taken is None else taken.unionByName(cut)
     if not found:
         empty = base.where(F.lit(False))

@@ -8,7 +8,8 @@ from registry.oracle_storm_parts import (
     BASE, FRAME_MIN, GOOD, MEASURED, SMOOTH, accepted, area, chain, label, measure, storms,
 )
 
-HIGH = (SMOOTH, label("sm", "v > 101000.0E0"), measure(sign=-1))
+UPSIDE_DOWN = f"SELECT * REPLACE (202600.0E0 - msl AS msl) FROM ({GRID})"
+HIGH = (SMOOTH, label("sm", "v > 102600.0E0"), measure(sign=-1))
 FILLED = """SELECT time, iy, ix, coalesce(sst, avg(sst) OVER (PARTITION BY time)) AS filled FROM grid"""
 ONES = "string_agg(CASE WHEN c.interior THEN '1' ELSE '0' END, '{sep}' ORDER BY {order})"
 MASKS = """SELECT s.time, s.label, g.iy*15 + g.ix AS cell, coalesce(c.interior, false) AS interior
@@ -83,8 +84,9 @@ ORACLES = {
     + "\nSELECT time, label, n_interior, n_cells - n_interior AS n_ring FROM regions WHERE n_interior > 0",
     "grd10_internal_extremum": chain(*MEASURED)
     + f"\nSELECT time, label, {rd('amp_abs', 4)} AS inside, {rd('ring_extremum', 4)} AS ring, internal_extremum FROM regions",
-    "grd10_required_for_highs": chain(*HIGH, accepted(amp=50.0, extra="AND internal_extremum"))
-    + f"\nSELECT time, label, n_cells, {rd('amp_abs', 4)} AS amp_abs, {rd('amp_rel', 4)} AS amp_rel FROM good",
+    "grd10_required_for_highs": chain(*HIGH, accepted(extra="AND internal_extremum"), over=UPSIDE_DOWN)
+    + f"\nSELECT time, label, n_cells, {rd('amp_abs', 4)} AS amp_abs, {rd('amp_rel', 4)} AS amp_rel,"
+    " low_lon AS lon, low_lat AS lat FROM good",
     "grd11_amplitudes": good(
         f"time, label, {rd('ring_mean', 4)} AS ring_mean, {rd('amp_rel', 4)} AS amp_rel FROM good", amp=500.0
     ),
@@ -115,7 +117,7 @@ ORACLES = {
     "grd25_storms_of_all_hours": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
     "trk1_detections": chain(*GOOD)
     + f"""
-SELECT time, lon, lat, idx, n, 'cyclonic' AS type, {rd('amp_abs', 4)} AS amp, {rd('area', 4)} AS area FROM
+SELECT f.time, lon, lat, idx, n, 'cyclonic' AS type, {rd('amp_abs', 4)} AS amp, {rd('area', 4)} AS area FROM
  (SELECT *, amp_abs, {area('n_cells', 'low_lat')} AS area FROM good) s JOIN ({FOUND}) f ON f.time = s.time AND f.lon = s.low_lon AND f.lat = s.low_lat""",
     "trk4_lasting_tracks": track_lengths(
         f"SELECT track_id, points, {rd('length_km', 3)} AS length_km, {rd('straight_km', 3)} AS straight_km FROM summary WHERE {KEEP}"

@@ -121,10 +121,11 @@ def grd10_internal_extremum(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def grd10_required_for_highs(spark: SparkSession, sf: str) -> DataFrame:
-    limits = dict(cyc="anticyclonic", level=101000.0, rel_amp_thresh=50.0, npix_max=6000)
-    return _regions(
-        found(spark, sf, require_internal_extremum=True, **limits), n_cells="n_cells", amp_abs="amp_abs", amp_rel="amp_rel"
-    )
+    """Highs, and only with their peak inside; the pressure is turned upside down for it."""
+    upside_down = fx.grid(spark, sf).withColumn("msl", F.lit(202600.0) - F.col("msl"))
+    limits = DetectParams(cyc="anticyclonic", level=102600.0, require_internal_extremum=True, center="region_min")
+    highs = storms.detect(upside_down, fx.SPEC, limits)
+    return _regions(highs, n_cells="n_cells", amp_abs="amp_abs", amp_rel="amp_rel", lon="lon", lat="lat")
 
 
 @query
@@ -154,8 +155,7 @@ def grd15_areas(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def grd16_interior_masks(spark: SparkSession, sf: str) -> DataFrame:
-    cells = labelled(spark, sf)
-    masks = storms.interior_masks(cells, found(spark, sf), fx.SPEC)
+    masks = storms.interior_masks(found(spark, sf), fx.SPEC)
     text = F.array_join(F.col("mask").cast("array<string>"), "")
     return longs(masks.select("time", "label", text.alias("mask")), "label")
 
