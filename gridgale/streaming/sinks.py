@@ -33,9 +33,16 @@ def to_files(
 
 
 def to_table(
-    stream: DataFrame, table: str, checkpoint: str, once: bool = False, trigger: str = TRIGGER, fmt: str = "parquet"
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    once: bool = False,
+    trigger: str = TRIGGER,
+    fmt: str = "parquet",
+    **options: str,
 ) -> StreamingQuery:
-    return _writer(stream, checkpoint, once, trigger).format(fmt).toTable(table)
+    """Append to a catalog table; its connector is `fmt` with its `options`."""
+    return _writer(stream, checkpoint, once, trigger).options(**options).toTable(table, format=fmt)
 
 
 def log_batch(batch_id: int, rows: int) -> None:
@@ -50,6 +57,7 @@ def to_files_and_table(
     on_batch: Callable[[int, int], None] = log_batch,
     once: bool = False,
     trigger: str = TRIGGER,
+    table_options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """One query that reads the topic once and writes both places, then reports the batch.
 
@@ -70,7 +78,7 @@ def to_files_and_table(
             if spark.catalog.tableExists(table):
                 again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
             else:
-                again.write.partitionBy("batch").saveAsTable(table)
+                again.write.options(**(table_options or {})).partitionBy("batch").saveAsTable(table)
         on_batch(batch_id, rows)
 
     return _writer(stream, checkpoint, once, trigger).foreachBatch(store).start()

@@ -2,15 +2,14 @@
 
 
 def all_queries():
-    from registry import scalar_queries, report_queries, storm_queries, io_queries  # noqa: F401
+    from registry import io_queries, report_queries, scalar_queries, storm_queries  # noqa: F401
     from registry.catalog import QUERIES
 
     return dict(QUERIES)
 
 
 def all_oracles():
-    from registry import oracle_io, oracle_report, oracle_scalar, oracle_storm
+    from registry import oracle_io, oracle_report, oracle_scalar, oracle_storm, oracle_track
 
-    return {
-        **oracle_scalar.ORACLES, **oracle_report.ORACLES, **oracle_storm.ORACLES, **oracle_io.ORACLES
-    }
+    parts = (oracle_scalar, oracle_report, oracle_storm, oracle_track, oracle_io)
+    return {name: sql for part in parts for name, sql in part.ORACLES.items()}

@@ -1 +1,309 @@
+"""Sources, sinks and the stream; each writes the whole table and reads it back."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridgale.operators import merge, reports, star, storms
+from gridgale.schema import RAW_RAIN, RAW_WEATHER
+from gridgale.session import shared_path
+from gridgale.sources import coverage, readers, sinks
+from gridgale.streaming import feed
+from gridgale.streaming import sinks as stream_sinks
+from registry import fixture as fx
+from registry.catalog import longs, query, rounded
+from registry.scalar_queries import KEYS, parsed_form
+
+
+def _as(df: DataFrame, schema) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def _wide(df: DataFrame) -> DataFrame:
+    """32-bit floats as doubles, rounded."""
+    floats = [n for n, t in df.dtypes if t == "float"]
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in floats})
+
+
+def _table_name(stem: str) -> str:
+    return f"{stem}_{uuid.uuid4().hex}"
+
+
+def _landed(spark: SparkSession, sf: str, name: str) -> str:
+    """Observations in year/month/day folders."""
+    path = shared_path(spark, name)
+    sinks.land(fx.climate(spark, sf).select(*KEYS, "sp", "tcc"), path)
+    return path
+
+
+def _per_day(df: DataFrame) -> DataFrame:
+    grouped = df.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("sp").alias("sp"), F.sum("tcc").alias("tcc")
+    )
+    return longs(rounded(grouped, 4, "sp", "tcc"), "year", "month", "day")
+
+
+@query
+def src1_weather_scan(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_path(spark, "src1")
+    _as(fx.weather(spark, sf), RAW_WEATHER).write.parquet(f"{root}/part=1")
+    return _wide(readers.read_weather(spark, f"{root}/*", base=root)).drop("part")
+
+
+@query
+def src2_rain_scan(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_path(spark, "src2")
+    _as(fx.rain(spark, sf), RAW_RAIN).write.parquet(f"{root}/part=1")
+    read = readers.read_rain(spark, f"{root}/*", base=root)
+    return read.drop("part").withColumn("tp", F.round(F.col("tp").cast("double"), 8))
+
+
+@query
+def src3_one_year(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_day(readers.only_year(readers.read_table_files(spark, _landed(spark, sf, "src3")), 2024))
+
+
+@query
+def src4_derived_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "src4")
+    sinks.write_files(merge.weather_result(fx.joined(spark, sf)), path)
+    back = readers.read_table_files(spark, path)
+    return rounded(back, 5, *[c for c in back.columns if c not in KEYS])
+
+
+@query
+def src5_times_as_text(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "src5")
+    sinks.write_files(fx.grid(spark, sf).select(F.col("time").cast("string"), "latitude", "longitude", "sp"), path)
+    return readers.read_with_time_cast(spark, path)
+
+
+@query
+def src6_table_range(spark: SparkSession, sf: str) -> DataFrame:
+    """One scan of a catalog table for all columns wanted, in raster order."""
+    fx.grid(spark, sf).createOrReplaceTempView("observed")
+    rows = readers.scan_table(spark, "observed", ["sp", "tcc"], "2024-01-01 00:00:00", "2024-01-02 23:00:00")
+    return readers.raster_order(rows)
+
+
+@query
+def src7_whole_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    return longs(readers.read_table_files(spark, _landed(spark, sf, "src7")), "year", "month", "day")
+
+
+def _message_files(spark: SparkSession, sf: str, name: str, *shifts: int) -> str:
+    """Messages as text files, once for each shift of their times in days."""
+    path = shared_path(spark, name)
+    for days in shifts or (0,):
+        moved = {
+            n: F.timestamp_add("DAY", F.lit(days), F.col(n)) for n in ("time", "valid_time")
+        }
+        messages = sinks.to_messages(fx.observations(spark, sf).withColumns(moved))
+        messages.select("value").write.mode("append").text(path)
+    return path
+
+
+def _stream(spark: SparkSession, sf: str, name: str, *shifts: int) -> DataFrame:
+    source = _message_files(spark, sf, f"{name}-in", *shifts)
+    return feed.parse_stream(feed.read_messages(spark, "text", source))
+
+
+@query
+def src8_message_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream source with text files in the broker's place: every message once."""
+    source = _message_files(spark, sf, "src8-in")
+    out = shared_path(spark, "src8-out")
+    stream = feed.read_messages(spark, "text", source)
+    stream_sinks.to_files(stream, out, shared_path(spark, "src8-checkpoint"), once=True).awaitTermination()
+    fields = F.size(F.split("value", ", ")).cast("long")
+    return spark.read.parquet(out).groupBy(fields.alias("fields")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def src9_landed_days(spark: SparkSession, sf: str) -> DataFrame:
+    """All landed days, named one by one as a daily ingest does."""
+    root = _landed(spark, sf, "src9")
+    days = fx.climate(spark, sf).select(F.to_date("time").alias("day")).distinct().collect()
+    schema = readers.read_table_files(spark, root).drop("year", "month", "day").schema
+    return _per_day(readers.read_landed_days(spark, root, [r["day"] for r in days], schema))
+
+
+@query
+def src10_missing_hours(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage.missing_hours(fx.climate(spark, sf))
+
+
+@query
+def snk1_repartitioned_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "snk1")
+    sinks.write_files(fx.joined(spark, sf), path, partitions=49)
+    back = readers.read_table_files(spark, path).withColumn("file", F.input_file_name())
+    return rounded(
+        back.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"), F.sum("tp").alias("tp")), 6, "tp"
+    )
+
+
+@query
+def snk2_day_folders(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "snk2")
+    sinks.write_by_day(merge.weather_result(fx.joined(spark, sf)), path, files_per_day=2)
+    back = readers.read_table_files(spark, path).groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("wind_speed").alias("wind"), F.max("air_density").alias("density")
+    )
+    return longs(rounded(back, 5, "wind", "density"), "year", "month", "day")
+
+
+@query
+def snk3_landing_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Days landed again replace themselves."""
+    path = _landed(spark, sf, "snk3")
+    again = fx.climate(spark, sf).select(F.col("time").cast("string"), "latitude", "longitude", "sp", "tcc")
+    sinks.land(again, path)
+    return _per_day(readers.read_table_files(spark, path))
+
+
+@query
+def snk3_landing_appended(spark: SparkSession, sf: str) -> DataFrame:
+    path = _landed(spark, sf, "snk3a")
+    sinks.land(fx.climate(spark, sf).select(*KEYS, "sp", "tcc"), path, append=True)
+    return _per_day(readers.read_table_files(spark, path))
+
+
+@query
+def snk4_appended_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Storm hours first, the quiet hours in a second append."""
+    table, path = _table_name("storms"), shared_path(spark, "snk4")
+    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, emit_quiet_hours=True, with_masks=False)
+    for part in (hours.where("lon_storm IS NOT NULL"), hours.where("lon_storm IS NULL")):
+        sinks.append_table(part, table, path=path)
+    return rounded(spark.table(table).drop("regions_storm"), 4, "amp_storm", "max_wind_speed", "area_storm")
+
+
+@query
+def snk5_replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    table, path = _table_name("report"), shared_path(spark, "snk5")
+    sinks.replace_table(reports.monthly_mean_temperature(fx.climate(spark, sf)), table, path=path)
+    sinks.replace_table(reports.daily_precipitation(fx.grid(spark, sf)), table, path=path)
+    return rounded(spark.table(table), 6, "total_precipitation")
+
+
+@query
+def snk6_star_tables(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_path(spark, "snk6")
+    names = []
+    for name, table in star.split(fx.weather(spark, sf)).items():
+        sinks.write_files(table, f"{root}/{name}")
+        names.append(name)
+    return reports.row_counts({n: readers.read_table_files(spark, f"{root}/{n}") for n in names})
+
+
+@query
+def snk7_stream_to_files(spark: SparkSession, sf: str) -> DataFrame:
+    out = shared_path(spark, "snk7-out")
+    stream = _stream(spark, sf, "snk7")
+    stream_sinks.to_files(stream, out, shared_path(spark, "snk7-checkpoint"), once=True).awaitTermination()
+    return parsed_form(spark.read.parquet(out))
+
+
+@query
+def snk8_stream_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    table, out = _table_name("live"), shared_path(spark, "snk8-out")
+    stream = _stream(spark, sf, "snk8")
+    q = stream_sinks.to_table(stream, table, shared_path(spark, "snk8-checkpoint"), once=True, path=out)
+    q.awaitTermination()
+    return parsed_form(spark.table(table))
+
+
+@query
+def snk9_batches_with_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """One query writes files and table and reports each batch."""
+    table, out = _table_name("live"), shared_path(spark, "snk9-out")
+    seen: list[tuple[int, int]] = []
+    q = stream_sinks.to_files_and_table(
+        _stream(spark, sf, "snk9"), out, table, shared_path(spark, "snk9-checkpoint"),
+        on_batch=lambda i, n: seen.append((i, n)), once=True,
+        table_options={"path": shared_path(spark, "snk9-table")},
+    )
+    q.awaitTermination()
+    counts = reports.row_counts({"files": spark.read.parquet(out), "table": spark.table(table)})
+    return counts.withColumn("reported", F.lit(sum(n for _, n in seen)).cast("long"))
+
+
+@query
+def snk10_published_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """(key, value) messages sent to a sink and split again."""
+    path = shared_path(spark, "snk10")
+    sinks.publish(sinks.to_messages(fx.observations(spark, sf)), "json", path=path)
+    back = spark.read.schema("key string, value string").json(path)
+    parts = F.split("value", ", ")
+    return back.select(
+        "key",
+        F.size(parts).cast("long").alias("fields"),
+        *[F.round(F.get(parts, F.lit(i)).try_cast("double"), 4).alias(n) for n, i in (("t2m", 10), ("tcc", 14))],
+        (F.get(parts, F.lit(12)) == "nan").alias("no_sst"),
+    )
+
+
+@query
+def str1_parsed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Parse and enrich; daily means of the parsed stream's rows."""
+    out = shared_path(spark, "str1-out")
+    stream = _stream(spark, sf, "str1")
+    stream_sinks.to_files(stream, out, shared_path(spark, "str1-checkpoint"), once=True).awaitTermination()
+    rows = spark.read.parquet(out)
+    per_hour = rows.groupBy("time").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("sst").alias("sst_known"), F.max("wind_speed").alias("max_wind")
+    )
+    return rounded(per_hour, 4, "max_wind")
+
+
+def _two_queries(spark: SparkSession, sf: str, name: str):
+    """Files and table from one feed, as two independent queries."""
+    table, out = _table_name("live"), shared_path(spark, f"{name}-out")
+    stream = _stream(spark, sf, name)
+    queries = (
+        stream_sinks.to_files(stream, out, shared_path(spark, f"{name}-checkpoint-files"), once=True),
+        stream_sinks.to_table(
+            stream, table, shared_path(spark, f"{name}-checkpoint-table"), once=True, path=shared_path(spark, f"{name}-table")
+        ),
+    )
+    stream_sinks.run_until_one_ends(spark, *queries)
+    for q in queries:
+        q.awaitTermination()
+    return spark.read.parquet(out), spark.table(table)
+
+
+@query
+def str2_micro_batches_to_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run from the same checkpoint only takes what came after the first."""
+    source = _message_files(spark, sf, "str2-in")
+    out, checkpoint = shared_path(spark, "str2-out"), shared_path(spark, "str2-checkpoint")
+    for _ in range(2):
+        stream = feed.parse_stream(feed.read_messages(spark, "text", source))
+        stream_sinks.to_files(stream, out, checkpoint, once=True).awaitTermination()
+    return parsed_form(spark.read.parquet(out))
+
+
+@query
+def str3_second_query_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    _, table = _two_queries(spark, sf, "str3")
+    return parsed_form(table)
+
+
+@query
+def str4_both_queries(spark: SparkSession, sf: str) -> DataFrame:
+    files, table = _two_queries(spark, sf, "str4")
+    return reports.row_counts({"files": files, "table": table})
+
+
+@query
+def str5_late_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A second feed ten days behind the first: its rows are appended like any other."""
+    out = shared_path(spark, "str5-out")
+    stream = _stream(spark, sf, "str5", 0, -10)
+    stream_sinks.to_files(stream, out, shared_path(spark, "str5-checkpoint"), once=True).awaitTermination()
+    days = spark.read.parquet(out).groupBy(F.to_date("time").alias("day"))
+    return rounded(days.agg(F.count(F.lit(1)).alias("rows"), F.max("wind_speed").alias("max_wind")), 4, "max_wind")

@@ -240,6 +240,13 @@ def trk3_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return longs(points.select("track_id", "seq", "time", "idx", "lon", "lat", "type", "exist_at_start"), "track_id", "idx")
 
 
+@query
+def trk3_tracks_far_reach(spark: SparkSession, sf: str) -> DataFrame:
+    """With 400 km an hour the two lows of a frame compete for their successors."""
+    points = tracks.track(found_lows(spark, sf), prop_speed=400.0)
+    return longs(points.select("track_id", "seq", "time", "idx", "lon", "lat", "type", "exist_at_start"), "track_id", "idx")
+
+
 @query
 def trk4_lasting_tracks(spark: SparkSession, sf: str) -> DataFrame:
     kept = tracks.lasting_tracks(tracks.track_summary(id_tracks(spark, sf)), d_tot_min=150.0, d_ratio=0.3, dur_min=2.0)
