@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,7 @@ def tile_labels(nx: int):
     """
 
     @F.pandas_udf("array<int>")
-    def label(tiles):
-        import numpy as np
-        import pandas as pd
-
+    def label(tiles: pd.Series) -> pd.Series:
         sizes = tiles.map(len).to_numpy()
         if sizes.sum() == 0:
             return pd.Series([[] for _ in sizes])

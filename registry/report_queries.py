@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridgale.operators import frames, links, merge, reports, regions, star, storms, terrain, tracks, windows
 from gridgale.plans import dashboard
+from gridgale.session import cut_lineage
 from registry import fixture as fx
 from registry.catalog import longs, query, rounded
 
@@ -47,7 +48,7 @@ def joi3_drop_over_high_ground(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def joi4_nearest_next(spark: SparkSession, sf: str) -> DataFrame:
-    found = found_lows(spark, sf)
+    found = cut_lineage(found_lows(spark, sf))
     best = links.nearest_next(links.candidate_links(found))
     at = found.select(F.col("node").alias("u"), "time", F.col("idx").cast("long").alias("idx"))
     to = found.select(F.col("node").alias("v"), F.col("idx").cast("long").alias("next_idx"))
