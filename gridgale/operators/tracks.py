@@ -8,10 +8,10 @@ looks sequential, but a choice only matters where tracks compete:
   is linked whatever the order (most links of a sparse field);
 * chains of such links shrink to their ends, and only the contested links between
   chains remain;
-* contested links are settled step by step in parallel from assumed track ages; the
-  links settled give better ages, and so on until nothing changes. Ages at a step only
-  depend on earlier steps, so every round settles at least one more step for good and
-  the end state is the sequential result.
+* contested links are settled in short runs of steps, all runs in parallel, from
+  assumed track ages; the links settled give better ages, and so on until nothing
+  changes. Ages only depend on earlier steps, so every round settles at least one more
+  run for good, and the end state is the sequential result.
 
 A node is a detection; node numbers sort by (step, idx), so the number of a track's
 first node is also its rank.
@@ -32,6 +32,8 @@ from gridgale.session import cut_lineage
 DUR_MIN = 72.0
 D_TOT_MIN = 1000.0
 D_RATIO = 0.6
+# Steps settled in one go; bounds what a task holds, and saves rounds.
+RUN = 128
 
 
 def _heads(links: DataFrame) -> DataFrame:
@@ -43,29 +45,64 @@ def _heads(links: DataFrame) -> DataFrame:
 def _greedy(edges: Column) -> Column:
     """Links taken from one step's edges (`rank`, `km`, `v`, `u`), sorted: an edge is taken
     if neither of its ends is taken yet."""
-    nothing = F.array().cast("array<struct<u:bigint,v:bigint>>")
+    nothing = F.array().cast("array<struct<u:bigint,v:bigint,rank:bigint>>")
 
     def free(taken: Column, e: Column) -> Column:
         return ~F.exists(taken, lambda t: (t["u"] == e["u"]) | (t["v"] == e["v"]))
 
-    return F.aggregate(
-        edges,
-        nothing,
-        lambda taken, e: F.when(
-            free(taken, e), F.array_append(taken, F.struct(e["u"].alias("u"), e["v"].alias("v")))
-        ).otherwise(taken),
+    def take(taken: Column, e: Column) -> Column:
+        link = F.struct(e["u"].alias("u"), e["v"].alias("v"), e["rank"].alias("rank"))
+        return F.when(free(taken, e), F.array_append(taken, link)).otherwise(taken)
+
+    return F.aggregate(edges, nothing, take)
+
+
+def _step_by_step(steps: Column) -> Column:
+    """Links of a run of steps, each an array of edges (`u`, `v`, `km`, `tail_of`, `rank`).
+
+    A chain that is joined to a track takes over its rank for the steps that follow;
+    other chains have the rank they came with.
+    """
+    start = F.struct(
+        F.create_map().cast("map<bigint,bigint>").alias("ranks"),
+        F.array().cast("array<struct<u:bigint,v:bigint,rank:bigint>>").alias("taken"),
     )
 
+    def go(state: Column, step: Column) -> Column:
+        ranked = F.transform(
+            step["edges"],
+            lambda e: F.struct(
+                F.coalesce(F.try_element_at(state["ranks"], e["tail_of"]), e["rank"]).alias("rank"),
+                e["km"].alias("km"),
+                e["v"].alias("v"),
+                e["u"].alias("u"),
+            ),
+        )
+        # The links of the step are put last in the list, so that they are computed once.
+        return F.struct(state["ranks"].alias("ranks"), F.concat(state["taken"], _greedy(F.sort_array(ranked))).alias("taken"))
+
+    def inherit(state: Column) -> Column:
+        ranks = F.map_from_entries(F.transform(state["taken"], lambda t: F.struct(t["v"], t["rank"])))
+        return F.struct(ranks.alias("ranks"), state["taken"].alias("taken"))
+
+    return F.aggregate(steps, start, lambda state, step: inherit(go(state, step)), lambda state: state["taken"])
+
 
 def _settle(contested: DataFrame, ages: DataFrame) -> DataFrame:
-    """Links (`u`, `v`, `tail_of`) chosen when chains have the given `ages` (`chain`, `rank`)."""
+    """Links (`u`, `v`, `tail_of`) chosen when chains have the given `ages` (`chain`, `rank`).
+
+    Steps are settled in runs of `RUN` in order; runs are independent of each other.
+    """
     ranked = contested.join(ages, contested["tail_of"] == ages["chain"], "left").select(
         "u", "v", "km", "tail_of", F.coalesce("rank", "tail_of").alias("rank")
     )
     by_step = ranked.groupBy(step_of(F.col("v")).alias("step")).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "km", "v", "u"))).alias("_e")
+        F.collect_list(F.struct("u", "v", "km", "tail_of", "rank")).alias("edges")
+    )
+    by_run = by_step.groupBy(F.floor(F.col("step") / RUN)).agg(
+        F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("_steps")
     )
-    taken = by_step.select(F.explode(_greedy(F.col("_e"))).alias("_t")).select("_t.u", "_t.v")
+    taken = by_run.select(F.explode(_step_by_step(F.col("_steps"))).alias("_t")).select("_t.u", "_t.v")
     return taken.join(contested.select("u", "v", "tail_of"), ["u", "v"])
 
 
