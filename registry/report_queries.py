@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gridgale.operators import frames, links, merge, reports, regions, star, storms, terrain, tracks, windows
 from gridgale.plans import dashboard
-from gridgale.session import cut_lineage
+from gridgale.session import cut_lineage, shared_path
+from gridgale.sources import readers, sinks
 from registry import fixture as fx
 from registry.catalog import longs, query, rounded
 
@@ -27,6 +28,14 @@ def found_lows(spark: SparkSession, sf: str) -> DataFrame:
     return links.detections(storms.detect(fx.grid(spark, sf), fx.SPEC, params))
 
 
+def written_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    root, tables = shared_path(spark, "star"), {}
+    for name, table in star.split(fx.weather(spark, sf)).items():
+        sinks.write_files(table, f"{root}/{name}")
+        tables[name] = readers.read_table_files(spark, f"{root}/{name}")
+    return tables
+
+
 @query
 def joi1_rain_and_weather(spark: SparkSession, sf: str) -> DataFrame:
     joined = merge.merge_weather(fx.rain(spark, sf), fx.weather(spark, sf))
@@ -35,7 +44,8 @@ def joi1_rain_and_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def joi2_star_read_back(spark: SparkSession, sf: str) -> DataFrame:
-    back = star.read_back(star.split(fx.weather(spark, sf))).drop("fact_id", "weather_id")
+    """The four tables are written, read and joined again."""
+    back = star.read_back(written_star(spark, sf)).drop("fact_id", "weather_id")
     return longs(rounded(back, 4, *star.FACT_NAMES.values()), "year", "month", "day", "hour")
 
 

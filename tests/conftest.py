@@ -13,7 +13,8 @@ from gridgale.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(
-        "tests", master="local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g"
+        "tests", master="local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
