@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgale.functions import physics
@@ -137,13 +137,10 @@ def all_months(counts: DataFrame, years: DataFrame) -> DataFrame:
     )
 
 
-def share_of_rain(report: DataFrame, label: str, rain: str, within: list[str] | None = None) -> DataFrame:
-    """Each row's part of the rain of its pie (`within`), or of the whole report."""
-    if within:
-        total = F.sum(rain).over(Window.partitionBy(*within))
-    else:
-        total = report.agg(F.sum(rain)).scalar()
-    return report.select(label, rain, F.try_divide(F.col(rain), total).alias("share"))
+def share_of_rain(report: DataFrame, rain: str, within: Column) -> DataFrame:
+    """Add each row's part of the rain of its pie; rows of one `within` make one pie."""
+    total = F.sum(rain).over(Window.partitionBy(within))
+    return report.withColumn("share", F.try_divide(F.col(rain), total))
 
 
 def value_ticks(df: DataFrame, column: str, ticks: int = 7) -> DataFrame:

@@ -209,11 +209,3 @@ def strip(points: DataFrame, **limits: float) -> DataFrame:
     """Points of the tracks that `lasting_tracks` keeps."""
     kept = lasting_tracks(track_summary(points), **limits).select("track_id")
     return points.join(kept, "track_id", "left_semi")
-
-
-def track_arrays(points: DataFrame) -> DataFrame:
-    """One row per track with its points in order, for export."""
-    point = F.struct("seq", "time", "lon", "lat", "amp", "area")
-    return points.groupBy("track_id", "type", "exist_at_start").agg(
-        F.sort_array(F.collect_list(point)).alias("points")
-    )

@@ -46,6 +46,7 @@ def storm_job(
     spec: GridSpec = VIETNAM_GRID,
     params: DetectParams = DetectParams(),
     fmt: str = "parquet",
+    table_options: dict[str, str] | None = None,
     **hourly,
 ) -> None:
     """Detect the storms of a time range and append them to a table.
@@ -56,7 +57,7 @@ def storm_job(
     joined = readers.read_with_time_cast(spark, joined_root)
     rows = readers.between_times(joined, start, end).select("time", "latitude", "longitude", "u10", "v10", "msl")
     found = storms.hourly_storms(rows, spec, params, regular=is_regular(rows, spec), **hourly)
-    sinks.append_table(found, table, fmt)
+    sinks.append_table(found, table, fmt, **(table_options or {}))
 
 
 def landing_job(batch: DataFrame | None, out: str, append: bool = False) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridgale.functions.physics import rain_millimetres
+from gridgale.functions.times import year_month_text
 from gridgale.operators import reports, windows
 from gridgale.sources.readers import between_times, raster_order
 
@@ -37,17 +38,17 @@ def day_segments(hourly: DataFrame, day: date) -> DataFrame:
 
 
 def year_page(dashboard: DataFrame, latitude: float, longitude: float, year: int) -> DataFrame:
-    """Month report with rain in millimetres and each month's share of it."""
+    """Month report with rain in millimetres and each month's share of its year."""
     months = reports.point_monthly(dashboard, latitude, longitude, year)
     wet = months.withColumn("rain", rain_millimetres(F.col("rain")))
-    return months.drop("rain").join(reports.share_of_rain(wet, "month", "rain"), "month")
+    return reports.share_of_rain(wet, "rain", F.substring("month", 1, 4)).orderBy("month")
 
 
 def month_page(dashboard: DataFrame, latitude: float, longitude: float, year: int, month: int) -> DataFrame:
+    """Day report with rain in millimetres and each day's share of its month."""
     days = reports.point_daily(dashboard, latitude, longitude, year, month)
     wet = days.withColumn("total_precipitation", rain_millimetres(F.col("total_precipitation")))
-    shares = reports.share_of_rain(wet, "day", "total_precipitation")
-    return days.drop("total_precipitation").join(shares, "day")
+    return reports.share_of_rain(wet, "total_precipitation", year_month_text(F.col("day"))).orderBy("day")
 
 
 def storms_of_year(storms: DataFrame, year: int, exclude_placeholder: bool = True) -> DataFrame:

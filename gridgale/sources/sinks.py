@@ -25,24 +25,21 @@ def write_files(df: DataFrame, path: str, partitions: int | None = None) -> None
 
 
 def write_by_day(
-    df: DataFrame,
-    path: str,
-    time_column: str = "time",
-    mode: str = "overwrite",
-    files_per_day: int = 1,
+    df: DataFrame, path: str, time_column: str = "time", mode: str = "overwrite", files_per_day: int | None = None
 ) -> None:
     """Write year/month/day folders.
 
     Overwriting only replaces the days present in `df`, so loading a day again does
-    not repeat its rows. Rows meet by day, in `files_per_day` parts each, before they
-    are written: few files per folder, and a heavy day is still split over tasks.
+    not repeat its rows. Rows are brought together by day before they are written, so
+    that folders hold few files; Spark sizes the pieces at run time and cuts a heavy
+    day into several. `files_per_day` fixes their number instead.
     """
     df = with_day_columns(df, time_column)
-    if files_per_day > 1:
-        part = F.pmod(F.xxhash64(*[c for c in df.columns if c not in DAY_COLUMNS]), F.lit(files_per_day))
-        df = df.repartition(*DAY_COLUMNS, part)
+    if files_per_day is None:
+        df = df.hint("rebalance", *DAY_COLUMNS)
     else:
-        df = df.repartition(*DAY_COLUMNS)
+        row = F.xxhash64(*[c for c in df.columns if c not in DAY_COLUMNS])
+        df = df.repartition(*DAY_COLUMNS, F.pmod(row, F.lit(files_per_day)))
     writer = df.write.mode(mode).partitionBy(*DAY_COLUMNS)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -85,7 +85,8 @@ def test_batch_jobs_from_landing_to_storms(spark, tmp_path):
     assert spark.read.parquet(f"{root}/star/dim_location").count() == 300
     table = f"storms_{tmp_path.name.replace('-', '_')}"
     batch.storm_job(
-        spark, f"{root}/joined", "2024-01-01 00:00:00", "2024-01-01 03:00:00", table, fx.SPEC, emit_quiet_hours=True
+        spark, f"{root}/joined", "2024-01-01 00:00:00", "2024-01-01 03:00:00", table, fx.SPEC,
+        table_options={"path": f"{root}/storms"}, emit_quiet_hours=True,
     )
     assert spark.table(table).count() == 4
 

@@ -82,9 +82,7 @@ def test_lasting_tracks_at_their_limits(spark):
     assert kept(dur_min=0, d_tot_min=0.0, d_ratio=0.0) == {0, 1}
 
 
-def test_strip_and_arrays(spark):
-    frames = [[(105.0 + 0.3 * t, 15.0)] for t in range(8)]
-    tracked = tracks.track(detections(spark, frames))
-    kept = tracks.strip(tracked, d_tot_min=10.0, dur_min=3.0)
-    row = tracks.track_arrays(kept).first()
-    assert [p["seq"] for p in row["points"]] == list(range(8))
+def test_strip_keeps_whole_tracks(spark):
+    frames = [[(105.0 + 0.3 * t, 15.0)] + ([(150.0, 15.0)] if t == 4 else []) for t in range(8)]
+    kept = tracks.strip(tracks.track(detections(spark, frames)), d_tot_min=10.0, dur_min=3.0)
+    assert [(r["track_id"], r["seq"]) for r in kept.orderBy("seq").collect()] == [(0, k) for k in range(8)]

@@ -75,10 +75,10 @@ def test_only_the_month_table_meets_in_one_task(spark):
     assert "_month" in before
 
 
-def test_shares_sum_to_one(spark):
-    df = spark.createDataFrame([("a", 2.0), ("b", 6.0), ("c", None)], "month string, rain double")
-    shares = [r["share"] for r in reports.share_of_rain(df, "month", "rain").collect()]
-    assert shares[:2] == [0.25, 0.75] and shares[2] is None
+def test_shares_of_each_pie(spark):
+    df = spark.createDataFrame([("a", 2.0, 1), ("b", 6.0, 1), ("c", None, 1), ("d", 5.0, 2), ("e", 0.0, 3)], "m string, rain double, pie int")
+    shares = {r["m"]: r["share"] for r in reports.share_of_rain(df, "rain", F.col("pie")).collect()}
+    assert shares == {"a": 0.25, "b": 0.75, "c": None, "d": 1.0, "e": None}
 
 
 def test_placeholder_counts_only_in_the_raw_form(spark):
