@@ -1,4 +1,4 @@
-"""Gaussian smoothing of frames: one window along the grid rows, one across them."""
+"""Gaussian smoothing of frames, along the grid rows and then across them."""
 
 from __future__ import annotations
 
@@ -50,18 +50,27 @@ def _sum(terms: list[Column]) -> Column:
     return total
 
 
+def raster_window():
+    """A frame from its north-west cell row by row. All passes use this one order, hence one sort."""
+    return Window.partitionBy("time").orderBy("iy", "ix")
+
+
 def smooth_axis(
-    cells: DataFrame, value: str, out: str, axis: str, across: str, size: int, kernel: list[float]
+    cells: DataFrame, value: str, out: str, axis: str, stride: int, size: int, kernel: list[float]
 ) -> DataFrame:
-    """Weighted sum of a cell and its neighbours along `axis`; cells must be complete."""
+    """Weighted sum of a cell and its neighbours along `axis`.
+
+    Frames are complete, so the neighbour `n` steps away lies `n * stride` rows away in
+    raster order: one row along a grid row, `nx` rows across. Near a border only taps
+    inside the grid have a weight.
+    """
     reach = len(kernel) // 2
     if reach == 0:
         return cells.withColumn(out, F.col(value))
-    line = Window.partitionBy("time", across).orderBy(axis)
     borders = border_weights(size, kernel)
     offsets = sorted({o for taps in borders.values() for o in taps} | set(range(-reach, reach + 1)))
     near = {o: f"_n{i}" for i, o in enumerate(offsets)}
-    shifted = cells.withColumns({name: F.lag(value, -o).over(line) for o, name in near.items()})
+    shifted = cells.withColumns({name: F.lag(value, -o * stride).over(raster_window()) for o, name in near.items()})
     total = _sum([F.lit(w) * F.col(near[k - reach]) for k, w in enumerate(kernel)])
     for p, taps in borders.items():
         at_border = _sum([F.lit(w) * F.col(near[o]) for o, w in sorted(taps.items())])
@@ -71,9 +80,7 @@ def smooth_axis(
 
 def fill_missing(cells: DataFrame, value: str, out: str) -> DataFrame:
     """Put the frame's mean where it has no value."""
-    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
-    # Ordered like the pass along the rows that follows, so both share one sort.
-    frame = Window.partitionBy("time").orderBy("iy", "ix").rowsBetween(*whole)
+    frame = raster_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return cells.withColumn(out, F.coalesce(F.col(value), F.avg(value).over(frame)))
 
 
@@ -89,7 +96,7 @@ def smooth(
     along = gaussian_kernel(cut_lon / SIGMA_PART / spec.res_lon)
     across = gaussian_kernel(cut_lat / SIGMA_PART / spec.res_lat)
     filled = fill_missing(cells, value, "_filled")
-    one = smooth_axis(filled, "_filled", "_along", "ix", "iy", spec.nx, along).drop("_filled")
-    two = smooth_axis(one, "_along", "_both", "iy", "ix", spec.ny, across)
+    one = smooth_axis(filled, "_filled", "_along", "ix", 1, spec.nx, along).drop("_filled")
+    two = smooth_axis(one, "_along", "_both", "iy", spec.nx, spec.ny, across)
     restored = two.withColumn(out, F.when(F.col(value).isNotNull(), F.col("_both")))
     return restored.drop("_along", "_both")
