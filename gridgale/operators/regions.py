@@ -117,7 +117,8 @@ def measure_regions(cells: DataFrame, spec: GridSpec, params: DetectParams) -> D
     ring_row = F.when(
         F.col("x0").isNotNull(),
         F.struct(
-            latitude.alias("lat"),
+            F.sin(F.radians(latitude)).alias("sin"),
+            F.cos(F.radians(latitude)).alias("cos"),
             spec.longitude(F.col("x0")).alias("lon0"),
             spec.longitude(F.col("x1")).alias("lon1"),
             *([F.transform("ring_xs", spec.longitude).alias("lons")] if wide else []),
@@ -172,8 +173,7 @@ def ring_extent_km(ring: str, wide: bool = False) -> Column:
     """
 
     def cosine(difference: Column, a: Column, b: Column) -> Column:
-        pa, pb = F.radians(a["lat"]), F.radians(b["lat"])
-        return F.sin(pa) * F.sin(pb) + F.cos(F.radians(difference)) * F.cos(pa) * F.cos(pb)
+        return a["sin"] * b["sin"] + F.cos(F.radians(difference)) * a["cos"] * b["cos"]
 
     def rows_apart(a: Column, b: Column) -> Column:
         if not wide:
