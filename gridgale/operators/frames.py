@@ -57,25 +57,63 @@ def to_cells(
     return cells.repartition("time")
 
 
+BITS = 64
+
+
+def cell_bitmaps(df: DataFrame, spec: GridSpec, time_column: str = "time", known: Column | None = None) -> DataFrame:
+    """(`time`, `iy`, `block`, `bits`, `rows`): the cells present (or `known`) as bits of longs.
+
+    Distinct cells become an ordinary partial aggregation; what is shuffled is a long
+    for every 64 cells, however often a cell is repeated.
+    """
+    spots = _on_grid(df, spec, time_column, [(F.lit(True) if known is None else known).alias("_known")])
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("ix") % BITS)
+    return spots.groupBy("time", "iy", F.floor(F.col("ix") / BITS).cast("int").alias("block")).agg(
+        F.coalesce(F.bit_or(F.when(F.col("_known"), bit)), F.lit(0).cast("long")).alias("bits"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+
+
 def completeness(df: DataFrame, spec: GridSpec, time_column: str = "time") -> DataFrame:
     """Rows and distinct cells of each frame.
 
     A frame is `complete` with all cells of the grid, and `regular` when there is also
-    no cell twice. Cells are marked as bits of longs, 64 to a group, so distinct cells
-    are counted by ordinary partial aggregation.
+    no cell twice.
     """
-    spots = _on_grid(df, spec, time_column)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("ix") % 64)
-    blocks = spots.groupBy("time", "iy", F.floor(F.col("ix") / 64).alias("_block")).agg(
-        F.bit_or(bit).alias("_bits"), F.count(F.lit(1)).alias("_rows")
-    )
-    counted = blocks.groupBy("time").agg(
-        F.sum("_rows").alias("rows"), F.sum(F.bit_count("_bits")).cast("long").alias("cells")
+    counted = cell_bitmaps(df, spec, time_column).groupBy("time").agg(
+        F.sum("rows").alias("rows"), F.sum(F.bit_count("bits")).cast("long").alias("cells")
     )
     whole = F.col("cells") == F.lit(spec.cells)
     return counted.withColumns({"complete": whole, "regular": whole & (F.col("rows") == F.col("cells"))})
 
 
+def missing_cells(df: DataFrame, spec: GridSpec, value: str, time_column: str = "time") -> DataFrame:
+    """(`time`, `iy`, `ix`) of the cells without a value, absent ones included.
+
+    Read off the bitmaps of the known cells: frames without gaps end there.
+    """
+    blocks = -(-spec.nx // BITS)
+    known = F.col(value).isNotNull() & ~F.isnan(value)
+    number = F.col("iy") * F.lit(blocks) + F.col("block")
+    frames = cell_bitmaps(df, spec, time_column, known).groupBy("time").agg(
+        F.collect_list(F.struct(number.cast("int").alias("number"), "bits")).alias("_have"),
+        F.sum(F.bit_count("bits")).alias("_known"),
+    )
+    every = F.sequence(F.lit(0), F.lit(spec.ny * blocks - 1))
+    absent = F.array_except(every, F.transform("_have", lambda h: h["number"]))
+    none = F.lit(0).cast("long")
+    all_blocks = F.concat(
+        "_have", F.transform(absent, lambda n: F.struct(n.alias("number"), none.alias("bits")))
+    )
+    holes = frames.where(F.col("_known") < F.lit(spec.cells)).select("time", F.explode(all_blocks).alias("_b"))
+    cells = holes.select("time", "_b.number", "_b.bits", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("_j"))
+    ix = (F.col("number") % blocks) * BITS + F.col("_j")
+    unset = F.call_function("shiftright", F.col("bits"), F.col("_j")).bitwiseAND(F.lit(1).cast("long")) == 0
+    return cells.where(unset & (ix < spec.nx)).select(
+        "time", F.floor(F.col("number") / blocks).cast("int").alias("iy"), ix.cast("int").alias("ix")
+    )
+
+
 def is_regular(df: DataFrame, spec: GridSpec, time_column: str = "time") -> bool:
     return completeness(df, spec, time_column).where(~F.col("regular")).isEmpty()
 

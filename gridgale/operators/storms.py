@@ -12,7 +12,7 @@ from gridgale.functions.keys import mask_text
 from gridgale.grid import GridSpec
 from gridgale.operators import regions as rg
 from gridgale.operators.components import label_cells
-from gridgale.operators.frames import to_cells, wrap_globe
+from gridgale.operators.frames import missing_cells, to_cells, wrap_globe
 from gridgale.operators.smoothing import smooth
 from gridgale.operators.windows import name_storms
 from gridgale.session import cut_lineage
@@ -71,9 +71,11 @@ def _ones_at(positions: Column, length: int) -> Column:
     return F.concat(F.flatten(F.transform(positions, run)), tail)
 
 
-def missing_positions(cells: DataFrame, spec: GridSpec, value: str = "msl") -> DataFrame:
-    """(`time`, `missing`): raster positions without a value, for frames that have any."""
-    holes = cells.where(F.col(value).isNull())
+def missing_positions(df: DataFrame, spec: GridSpec, params: rg.DetectParams = rg.DetectParams()) -> DataFrame:
+    """(`time`, `missing`): raster positions without pressure, for frames that have any."""
+    holes = missing_cells(df, spec, "msl")
+    if params.globe:
+        holes, spec = wrap_globe(holes, spec, params.globe_degrees)
     return holes.groupBy("time").agg(F.collect_list(spec.raster(F.col("iy"), F.col("ix"))).alias("missing"))
 
 
@@ -147,10 +149,7 @@ def hourly_storms(
         hours = hours.drop("_interiors")
     named = name_storms(cut_lineage(hours), threshold, prefix)
     if with_masks:
-        smoothed = pressure_cells(df, spec, regular)
-        if params.globe:
-            smoothed, _ = wrap_globe(smoothed, spec, params.globe_degrees)
-        named = named.join(missing_positions(smoothed, out_spec), "time", "left")
+        named = named.join(missing_positions(df, spec, params), "time", "left")
         named = named.withColumn("regions_storm", mask_texts("_interiors", "missing", out_spec))
     else:
         named = named.withColumn("regions_storm", F.lit(None).cast("string"))

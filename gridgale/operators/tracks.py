@@ -158,12 +158,13 @@ def track(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) ->
     begins = with_month(followed.where(F.col("track") == F.col("node")).select("track", "time", F.lit(1).alias("_one")))
     numbers = running_total(begins, "_one", "_number", ["track"]).select("track", (F.col("_number") - 1).alias("track_id"))
     start = step_of(F.col("track"))
-    return followed.join(numbers, "track").select(
+    points = followed.join(numbers, "track").select(
         "track_id",
         (F.col("step") - start).alias("seq"),
         *found.columns,
         (start == first_step).alias("exist_at_start"),
     )
+    return cut_lineage(points)
 
 
 def track_summary(points: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ def agg9_frame_means(spark: SparkSession, sf: str) -> DataFrame:
 
 def id_tracks(spark: SparkSession, sf: str) -> DataFrame:
     """Storm ids taken as tracks, their hours as points."""
-    hours = storm_hours(fx.grid(spark, sf))
+    hours = cut_lineage(storm_hours(fx.grid(spark, sf)))
     order = windows.Window.partitionBy("id").orderBy("time")
     return hours.select(
         F.col("id").alias("track_id"), F.row_number().over(order).alias("seq"), "time",

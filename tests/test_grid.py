@@ -83,6 +83,17 @@ def test_gaps_and_copies_do_not_shift_cells(spark):
     assert frames.is_regular(table(spark, spec, stack), spec)
 
 
+@pytest.mark.parametrize("nx", [9, 64, 70])
+def test_missing_cells_are_all_found(spark, nx):
+    spec = GridSpec(5, nx, 24.0, 0.0)
+    stack = np.ones((3, 5, nx))
+    stack[0, 1, nx - 1] = stack[0, 4, 0] = np.nan
+    gone = lambda t, y, x: t == 1 and (y == 2 or (y, x) == (0, 3))
+    df = table(spark, spec, stack, copies=2, leave_out=gone)
+    got = {(int((r["time"] - START).total_seconds() // 3600), r["iy"], r["ix"]) for r in frames.missing_cells(df, spec, "msl").collect()}
+    assert got == {(0, 1, nx - 1), (0, 4, 0), (1, 0, 3)} | {(1, 2, x) for x in range(nx)}
+
+
 def test_completeness_is_not_fooled_by_a_copy_for_a_gap(spark):
     spec = GridSpec(2, 70, 24.0, 0.0)
     df = table(spark, spec, np.ones((1, 2, 70)))
