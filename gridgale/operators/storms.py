@@ -136,8 +136,8 @@ def hourly_storms(
 ) -> DataFrame:
     """The storm table: at most one row per time, with the storm's running id.
 
-    `threshold` is 1.5 degrees as in the notebook form of the job; the batch form used
-    1. `emit_quiet_hours` adds a `-00` row for each time without a storm.
+    `threshold` is in degrees; 1 is the stricter usual choice. `emit_quiet_hours` adds a
+    `-00` row for each time without a storm.
 
     Frames are worked through once: their few storm rows are written out before ids
     are given, since naming reads them several times.
