@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.all_queries(), entry.all_oracles()
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
@@ -32,5 +32,9 @@ def test_query_equals_sql(spark, duck, name):
     assert verdict.startswith("ok"), verdict
 
 
+def test_entry_has_every_query():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry_returns_rows(spark):
     assert entry.entry(spark).count() > 0
