@@ -50,39 +50,40 @@ def tile_labels(nx: int):
     return label
 
 
-def components(edges: DataFrame, keys: list[str], rounds: int = 1000) -> DataFrame:
+def components(edges: DataFrame, keys: list[str]) -> DataFrame:
     """(`keys`, `node`, `root`) for undirected edges (`keys`, `a`, `b`): the smallest node
     that each node is connected to.
 
-    Each round takes the smallest root around a node and then the root's own root, so
-    chains shorten by halves. State is written out between rounds.
+    Two steps in turn, until nothing changes. In the first, every node offers its smallest
+    neighbour to its larger neighbours, in the second to its smaller ones; each edge is
+    replaced by one to that neighbour, so connections stay and trees become stars in a
+    logarithmic number of rounds, whichever way their numbers run. Each round is
+    written out. Nodes without edges do not appear; a node's edge to itself names it.
     """
-    both = edges.select(*keys, F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-        edges.select(*keys, F.col("b").alias("node"), F.col("a").alias("other"))
-    )
-    both = cut_lineage(both.distinct())
+    a, b = F.col("a"), F.col("b")
+    nodes = cut_lineage(edges.select(*keys, a.alias("node")).unionByName(edges.select(*keys, b.alias("node"))).distinct())
     state = cut_lineage(
-        both.groupBy(*keys, "node").agg(F.least(F.min("other"), F.col("node")).alias("root"))
+        edges.where(a != b).select(*keys, F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     )
-    for _ in range(rounds):
-        around = both.join(
-            state.select(*keys, F.col("node").alias("other"), F.col("root").alias("_o")), [*keys, "other"]
-        )
-        offers = around.groupBy(*keys, "node").agg(F.min("_o").alias("_o"))
-        nearer = state.join(offers, [*keys, "node"]).select(
-            *keys, "node", F.col("root").alias("_old"), F.least("root", "_o").alias("_mid")
-        )
-        hop = state.select(*keys, F.col("node").alias("_mid"), F.col("root").alias("_hop"))
-        state = cut_lineage(
-            nearer.join(hop, [*keys, "_mid"], "left").select(
-                *keys, "node", "_old", F.least("_mid", F.coalesce("_hop", "_mid")).alias("root")
-            )
-        )
-        changed = state.where(F.col("root") != F.col("_old")).isEmpty()
-        state = state.drop("_old")
-        if changed:
-            return state
-    raise RuntimeError("components did not settle")
+    mark = None
+    while True:
+        both = state.unionByName(state.select(*keys, b.alias("a"), a.alias("b")))
+        lowest = both.groupBy(*keys, "a").agg(F.least(F.min("b"), a).alias("m"))
+        # Larger neighbours go to the smallest neighbour.
+        large = both.join(lowest, [*keys, "a"]).where(b > a).select(*keys, b.alias("a"), F.col("m").alias("b"))
+        large = cut_lineage(large.distinct())
+        # Smaller neighbours, and the node itself, go to the smallest.
+        least = large.groupBy(*keys, "a").agg(F.min("b").alias("m"))
+        small = large.join(least, [*keys, "a"]).where(b != F.col("m")).select(*keys, b.alias("a"), F.col("m").alias("b"))
+        state = cut_lineage(small.unionByName(least.select(*keys, "a", F.col("m").alias("b"))).distinct())
+        seen = state.agg(
+            F.count("*"), F.sum(F.xxhash64(*keys, "a", "b").cast("decimal(38,0)")),
+        ).first()
+        if tuple(seen) == mark:
+            break
+        mark = tuple(seen)
+    roots = state.select(*keys, a.alias("node"), b.alias("root"))
+    return nodes.join(roots, [*keys, "node"], "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def label_cells(cells: DataFrame, spec: GridSpec, frame_values: list[str] = ()) -> DataFrame:
