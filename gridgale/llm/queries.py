@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.llm import hash_tree, host_quality, line_dedup, mixing, near_dedup, secrets
+from gridgale.llm import hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets
 from gridgale.llm.common import documents, ranked, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(documents(spark, sf_dir), carry=["doc_id"], with_ids=False)
+    return packed.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality.judge_documents(documents(spark, sf_dir), carry=["doc_id"])
