@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.llm import hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets
+from gridgale.llm import hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets, toxicity
 from gridgale.llm.common import documents, ranked, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,17 @@ def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score_documents(docs, model, carry=["doc_id"])
+    return scored.select(
+        "row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
