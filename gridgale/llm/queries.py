@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.llm import hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets, toxicity
+from gridgale.llm import fingerprints, hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets, toxicity
 from gridgale.llm.common import documents, ranked, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.compare_versions(documents(spark, sf_dir), carry=["doc_id"])
+    return compared.select(
+        "row.doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @query
 def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
