@@ -1,5 +1,7 @@
 """The SQL that checks the text queries, where SQL can express them."""
 
+from gridgale.llm import licenses
+
 # The white space that parts words, as a DuckDB string.
 SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -45,3 +47,30 @@ roots AS (SELECT node, min(root) AS component_id FROM walk GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN roots ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+_TEMPLATES = ", ".join(
+    "({}, '{}', '{}')".format(i, name, " ".join(licenses.normalised(text))) for i, (name, text) in enumerate(licenses.templates())
+)
+_BIGRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+ORACLES["op5_license_scan"] = f"""
+WITH known AS (
+  SELECT i, license, {_BIGRAMS} AS g
+  FROM (SELECT i, license, string_split(words, ' ') AS w FROM (VALUES {_TEMPLATES}) t(i, license, words))),
+paragraphs AS (
+  SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\n[ \\t\\r]*\\n')) AS p FROM documents),
+units AS (
+  SELECT doc_id, unnest(string_split(p, chr(10))) AS u FROM paragraphs
+  UNION ALL SELECT doc_id, p FROM paragraphs WHERE contains(p, chr(10))),
+sets AS (
+  SELECT doc_id, {_BIGRAMS} AS g, row_number() OVER () AS unit
+  FROM (SELECT doc_id, regexp_extract_all(lower(u), '[a-z0-9]+') AS w FROM units) WHERE len(w) > 1),
+scores AS (
+  SELECT doc_id, unit, license, 2.0 * len(list_intersect(s.g, k.g)) / (len(s.g) + len(k.g)) AS score,
+         row_number() OVER (PARTITION BY unit ORDER BY 2.0 * len(list_intersect(s.g, k.g)) / (len(s.g) + len(k.g)) DESC, i) AS place
+  FROM sets s JOIN known k ON list_has_any(s.g, k.g)),
+hits AS (SELECT * FROM scores WHERE place = 1 AND score >= 0.75)
+SELECT d.doc_id, count(h.unit) AS n_matches,
+       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses,
+       round(coalesce(max(CAST(score AS DOUBLE)), 0.0), 6) AS best_score
+FROM documents d LEFT JOIN hits h USING (doc_id) GROUP BY d.doc_id
+"""

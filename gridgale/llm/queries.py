@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.llm import fingerprints, hash_tree, host_quality, line_dedup, mixing, near_dedup, packing, secrets, toxicity
+from gridgale.llm import fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity
 from gridgale.llm.common import documents, ranked, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan_licenses(documents(spark, sf_dir), carry=["doc_id"])
+    return scanned.select(
+        "row.doc_id", F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+        F.round(F.coalesce(F.array_max("matches.score"), F.lit(0.0)), 6).alias("best_score"),
+    )
+
+
 @query
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality.judge_documents(documents(spark, sf_dir), carry=["doc_id"])
