@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from gridgale.llm import stages
+from gridgale.llm.common import documents, written
+
+STAGES = [
+    ("toxicity", stages.clean),
+    ("line_dedup", stages.without_shared_lines),
+    ("near_dedup", stages.without_near_copies),
+    ("mixing", stages.mixed),
+    ("packing", stages.sequences),
+]
+# A trained classifier and token ids are beyond SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("the stages follow")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn, each written to the shared folder and read again by the next."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
