@@ -29,6 +29,7 @@ DISTANCE = 2 * CHUNKS - 1
 BATCH_WORDS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 FIELD = 0xFFFF
+SIGN = [f"sign{c}" for c in range(CHUNKS)]
 
 
 def _runs(values: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,13 +130,13 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(linked)).select(["a", "b"])
 
 
-def lookup_keys(sign: Column) -> Column:
+def lookup_keys() -> Column:
     """Each long with each position left out; the free place says which."""
     keys = []
-    for c in range(CHUNKS):
+    for c, name in enumerate(SIGN):
         for j in range(4):
             rest = ((1 << 64) - 1) ^ (FIELD << (16 * j))
-            keys.append(F.get(sign, F.lit(c)).bitwiseAND(F.lit(_signed(rest))).bitwiseOR(F.lit(_signed((4 * c + j) << (16 * j)))))
+            keys.append(F.col(name).bitwiseAND(F.lit(_signed(rest))).bitwiseOR(F.lit(_signed((4 * c + j) << (16 * j)))))
     return F.array(*keys)
 
 
@@ -143,15 +144,18 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def distance(one: Column, two: Column) -> Column:
-    """In how many positions two signatures differ."""
-    total = None
-    for c in range(CHUNKS):
-        x = F.get(one, F.lit(c)).bitwiseXOR(F.get(two, F.lit(c)))
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        n = F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-        total = n if total is None else total + n
+def distance(one: list[Column], two: list[Column]) -> Column:
+    """In how many positions two signatures differ.
+
+    A position's highest bit is set where it is not zero; half a long at a time, so that
+    sums stay in range.
+    """
+    total = F.lit(0)
+    for x, y in zip(one, two):
+        differ = x.bitwiseXOR(y)
+        for half in (differ.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(differ, 32)):
+            marked = (half.bitwiseAND(F.lit(0x7FFF7FFF)) + F.lit(0x7FFF7FFF)).bitwiseOR(half)
+            total = total + F.bit_count(marked.bitwiseAND(F.lit(0x80008000)))
     return total
 
 
@@ -163,12 +167,15 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (`a`, `b`) that are links: near by signature, then by full sets."""
     def side(name: str) -> DataFrame:
-        return signs.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sign").alias(f"sign_{name}"))
+        return signs.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), *[F.col(c).alias(f"{name}_{c}") for c in SIGN])
+
+    def sign(name: str) -> list[Column]:
+        return [F.col(f"{name}_{c}") for c in SIGN]
 
     near = written(
         pairs.join(side("a"), "a").join(side("b"), "b")
         .where(DENOMINATOR * F.least("n_a", "n_b") >= NUMERATOR * F.greatest("n_a", "n_b"))
-        .where(distance(F.col("sign_a"), F.col("sign_b")) <= DISTANCE)
+        .where(distance(sign("a"), sign("b")) <= DISTANCE)
         .select("a", "b").distinct(),
         "near-pairs",
     )
@@ -207,16 +214,19 @@ def find_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     )
     known = sketched.where(F.col("id").isNotNull() & (F.col("n") > 0))
     of_set = written(
-        known.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sign").alias("sign")), "near-reps"
+        known.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sign").alias("sign")).select(
+            "s1", "s2", "n", "rep", *[F.get("sign", F.lit(c)).alias(name) for c, name in enumerate(SIGN)]
+        ),
+        "near-reps",
     )
-    signs = of_set.select(F.col("rep").alias("id"), "n", "sign")
-    members = known.select("id", "s1", "s2", "n").join(of_set.drop("sign"), ["s1", "s2", "n"]).select("id", "rep")
+    signs = of_set.select(F.col("rep").alias("id"), "n", *SIGN)
+    members = known.select("id", "s1", "s2", "n").join(of_set.drop(*SIGN), ["s1", "s2", "n"]).select("id", "rep")
     members = written(members.distinct(), "near-members")
     # An id that stands in several sets ties them.
     ties = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     tied = members.join(ties, "id").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
 
-    keyed = signs.select("id", F.explode(lookup_keys(F.col("sign"))).alias("key"))
+    keyed = signs.select("id", F.explode(lookup_keys()).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     buckets = written(keyed.join(shared.drop("last"), "key").distinct(), "near-buckets")
     texts = given.where(F.col("id").isNotNull())
@@ -228,12 +238,12 @@ def find_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         "key", "id", F.coalesce("root", "id").alias("root")
     )
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    apart = placed.join(mixed.select("key"), "key").join(signs.select("id", "sign"), "id")
+    apart = placed.join(mixed.select("key"), "key").join(signs.drop("n"), "id")
     one, two = apart.alias("one"), apart.alias("two")
     pairs = one.join(
         two,
         (F.col("one.key") == F.col("two.key")) & (F.col("one.root") < F.col("two.root"))
-        & (distance(F.col("one.sign"), F.col("two.sign")) <= DISTANCE),
+        & (distance([F.col(f"one.{c}") for c in SIGN], [F.col(f"two.{c}") for c in SIGN]) <= DISTANCE),
     ).select(
         F.least("one.id", "two.id").alias("a"), F.greatest("one.id", "two.id").alias("b")
     ).distinct().join(stars, ["a", "b"], "left_anti")
