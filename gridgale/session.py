@@ -58,6 +58,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the copy (survives lost executors)."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as Parquet to the shared folder and go on from the copy.
+
+    It survives lost executors, is computed once, and later plans can leave out columns
+    and see its size.
+    """
+    path = shared_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
