@@ -9,8 +9,10 @@ the pieces by their rank within their length.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,12 @@ from gridgale.llm.common import ranked, written
 LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-BATCH_BYTES = 24 << 20
-ENCODE_WORDS = 20_000
+BATCH_BYTES = 8 << 20
+REMEMBERED = 200_000  # pieces of words whose ids a task keeps
+# Plain words, and how the tokenizer cuts them before it merges: the same rules
+# on the letters below U+0250. Whatever else a word holds goes to the tokenizer as it is.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ɏ]+")
+CUTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, copies), ...), packs
 
@@ -103,7 +109,38 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def token_ids(texts: pa.Array, tokenizer, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+class WordEncoder:
+    """The ids of words, as little-endian 32-bit numbers.
+
+    A plain word is lower-cased, cut and merged piece by piece, and pieces are remembered;
+    that skips the tokenizer's general normalising. Tests hold both ways against each other.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.plain = tokenizer, self._is_known(tokenizer)
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in visible]
+        self.letters = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.piece = lru_cache(REMEMBERED)(self._piece)
+
+    @staticmethod
+    def _is_known(tokenizer) -> bool:
+        """Whether the tokenizer is of the kind that the short way is made for."""
+        parts = repr(tokenizer.normalizer), repr(tokenizer.pre_tokenizer)
+        return all(k in parts[0] for k in ("NFC", "Lowercase")) and r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]" in parts[1]
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        low = word.lower()
+        if self.plain and "<|" not in word and PLAIN.fullmatch(low):
+            return b"".join(map(self.piece, CUTS.findall(low)))
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def token_ids(texts: pa.Array, encoder: WordEncoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, each with `end_id` after it, and where each text ends.
 
     Blanks and line ends always part tokens, so each different word between them is encoded
@@ -112,26 +149,22 @@ def token_ids(texts: pa.Array, tokenizer, end_id: int) -> tuple[np.ndarray, np.n
     parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
     coded = pc.dictionary_encode(parts.flatten())
     ends = np.cumsum(pc.list_value_length(parts).to_numpy())
-    counts, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-    for begin in range(0, len(coded.dictionary), ENCODE_WORDS):
-        some = coded.dictionary.slice(begin, ENCODE_WORDS).to_pylist()
-        ids = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-        counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(counts[-1].sum())))
-    counts.append(np.ones(1, np.int64))
-    flat.append(np.array([end_id], np.uint32))
-    count, ids = np.concatenate(counts), np.concatenate(flat)
-    begin = (np.cumsum(count) - count).astype(np.int32)
+    known = [encoder.word(w) if w else b"" for w in coded.dictionary.to_pylist()]
+    known.append(np.array([end_id], "<u4").tobytes())
+    count = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    ids = np.frombuffer(b"".join(known), "<u4")
+    begin = np.cumsum(count) - count
     order = np.insert(coded.indices.to_numpy().astype(np.int32), ends, len(count) - 1)
     lengths = count[order]
     stops = np.cumsum(lengths)
-    at = np.repeat(begin[order] - (stops - lengths), lengths) + np.arange(int(stops[-1]) if len(stops) else 0)
+    at = np.repeat((begin[order] - (stops - lengths)).astype(np.int32), lengths)
+    at += np.arange(len(at), dtype=np.int32)
     return ids[at], stops[ends + np.arange(len(ends))]
 
 
 def _cut(path: str, size: int, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        encoder = WordEncoder(_tokenizer(path))
         for whole in batches:
             weight = np.cumsum(pc.fill_null(pc.binary_length(whole["text"]), 0).to_numpy())
             cuts = np.searchsorted(weight, np.arange(BATCH_BYTES, int(weight[-1]) if len(weight) else 0, BATCH_BYTES))
@@ -139,7 +172,7 @@ def _cut(path: str, size: int, end_id: int, with_ids: bool):
                 if a == b:
                     continue
                 batch = whole.slice(a, b - a)
-                ids, ends = token_ids(batch["text"], tokenizer, end_id)
+                ids, ends = token_ids(batch["text"], encoder, end_id)
                 begins = np.concatenate([[0], ends[:-1]])
                 tokens = ends - begins
                 pieces = -(-tokens // size)
