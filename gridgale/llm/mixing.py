@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment, with column functions only.
 
 Documents are dealt into shards. In a shard each source's words, in a seeded order, are
-cut into blocks of equal length. The shard's quota of blocks goes to the sources by
+cut into blocks of equal length, the last one shorter. The shard's quota of blocks goes to the sources by
 highest quotients, which gives each source a whole number of blocks, and that many are
 picked evenly from a seeded start. A document gives the words that fall into picked blocks.
 """
@@ -16,8 +16,8 @@ from gridgale.llm.common import SPACE, WORD, unpacked, words, written
 WEIGHTS = (5.0, 2.0, 1.0)
 VOLUME = 1.5  # of all words
 MOST = 2  # times a source's words
-BLOCK = 64  # words
-SHARD = 1 << 20  # words
+BLOCK = 32  # words
+SHARD = 1 << 18  # words
 SEED = 11
 
 
@@ -123,7 +123,7 @@ def mix_sources(
     known = sources.withColumnRenamed("source", "_source")
     wanted = cells.join(known, same_source).drop("_source").select(
         "shard", "source", "words", F.ceil(F.col("words") / block_words).alias("blocks"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.col("words") / block_words)
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.ceil(F.col("words") / block_words))
         .otherwise(F.lit(0.0)).alias("wanted"),
     )
     start = F.pmod(

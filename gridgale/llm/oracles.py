@@ -1,9 +1,10 @@
 """The SQL that checks the text queries, where SQL can express them."""
 
-from gridgale.llm import licenses
+from gridgale.llm import host_quality, licenses, mixing, secrets
 
 # The white space that parts words, as a DuckDB string.
 SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {}
@@ -74,3 +75,156 @@ SELECT d.doc_id, count(h.unit) AS n_matches,
        round(coalesce(max(CAST(score AS DOUBLE)), 0.0), 6) AS best_score
 FROM documents d LEFT JOIN hits h USING (doc_id) GROUP BY d.doc_id
 """
+
+_DRAW = f"""md5(concat_ws('|', '{mixing.SEED}', CAST(doc_id AS VARCHAR), source, md5(coalesce(text, ''))))"""
+_HEX = "CAST('0x' || substr({}, 1, 12) AS BIGINT)"
+_ROUNDED = "CASE WHEN total > 0 THEN CAST(floor(wanted * greatest(seats + ({}), 0.0) / total + 0.5) AS BIGINT) ELSE 0 END"
+_PICKED = "((({0}) * quota + start) // blocks)"
+_TAKEN = (
+    f"({mixing.BLOCK} * {_PICKED.format('{0} // {1}')} + ({_PICKED.format('{0} // {1} + 1')} - {_PICKED.format('{0} // {1}')})"
+    " * ({0} - {1} * ({0} // {1})))"
+)
+ORACLES["op3_source_mix"] = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len({WORDS.format("text")}) AS BIGINT) AS size, {_DRAW} AS draw FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, 2.0e0 * source_size AS stop,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0e0 WHEN 1 THEN 2.0e0 ELSE 1.0e0 END AS w,
+         row_number() OVER (ORDER BY source NULLS LAST) AS i
+  FROM sizes),
+levels AS (
+  SELECT *, (1.5e0 * sum(source_size) OVER ()
+     - coalesce(sum(stop) OVER (ORDER BY stop / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0e0))
+     / sum(w) OVER (ORDER BY stop / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+level AS (SELECT level AS lv FROM levels WHERE level <= stop / w ORDER BY stop / w, i LIMIT 1),
+targets AS (
+  SELECT source, source_size, CASE WHEN lv IS NULL THEN stop ELSE least(stop, w * lv) END AS target
+  FROM levels LEFT JOIN level ON true),
+shards AS (
+  SELECT greatest(1, CAST(ceil(sum(source_size) / {mixing.SHARD}.0e0) AS BIGINT)) AS shards FROM sizes),
+dealt AS (SELECT s.*, {_HEX.format("draw")} % shards AS shard FROM sized s, shards),
+cells AS (
+  SELECT shard, d.source, sum(size) AS words, any_value(source_size) AS source_size, any_value(target) AS target
+  FROM dealt d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source GROUP BY ALL),
+wanted AS (
+  SELECT shard, source, CAST(ceil(words / {mixing.BLOCK}.0e0) AS BIGINT) AS real_blocks,
+         CASE WHEN source_size > 0 THEN target / source_size * CAST(ceil(words / {mixing.BLOCK}.0e0) AS BIGINT) ELSE 0.0e0 END AS wanted
+  FROM cells),
+totals AS (SELECT *, count(*) OVER s AS n, sum(wanted) OVER s AS total FROM wanted WINDOW s AS (PARTITION BY shard)),
+seats AS (SELECT *, CAST(floor(total + 0.5) AS BIGINT) AS seats, 2 * real_blocks AS stop FROM totals),
+bounded AS (
+  SELECT *, least(greatest({_ROUNDED.format("-n / 2.0e0")} - 1, 0), stop) AS low,
+         least({_ROUNDED.format("n / 2.0e0")} + 1, stop) AS high FROM seats),
+opened AS (SELECT *, seats - sum(low) OVER (PARTITION BY shard) AS open FROM bounded),
+tried AS (SELECT *, unnest(CASE WHEN high > low THEN range(low, high) ELSE [NULL] END) AS a FROM opened),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY wanted / (2 * a + 1) DESC NULLS LAST, source NULLS LAST, a) AS place
+  FROM tried),
+quotas AS (
+  SELECT shard, source, greatest(any_value(real_blocks), 1) AS blocks,
+         CAST(any_value(low) + sum(CASE WHEN a IS NOT NULL AND place <= open THEN 1 ELSE 0 END) AS BIGINT) AS quota
+  FROM placed GROUP BY shard, source),
+begun AS (
+  SELECT *, {_HEX.format(f"md5(concat_ws('|', '{mixing.SEED}', CAST(shard AS VARCHAR), source))")} % blocks AS start FROM quotas),
+laid AS (
+  SELECT d.*, CAST(sum(size) OVER (PARTITION BY shard, source ORDER BY draw, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS first
+  FROM dealt d)
+SELECT doc_id, size, source_size, target,
+       CAST({_TAKEN.format("(first + size)", mixing.BLOCK)} - {_TAKEN.format("first", mixing.BLOCK)} AS BIGINT) AS taken
+FROM laid l JOIN begun b ON l.shard = b.shard AND l.source IS NOT DISTINCT FROM b.source
+JOIN targets t ON l.source IS NOT DISTINCT FROM t.source
+"""
+
+_RULES = {
+    "short": f"n_words < {host_quality.MIN_WORDS}",
+    "repeats": "100 * n_repeat_words > 30 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+}
+
+
+def _rate(rule: str) -> str:
+    """A host's shrunken rate of failing one rule."""
+    between = f"((s_{rule} - (k - 1) * m_{rule} * (1 - m_{rule})) / (docs - q))"
+    strength = (
+        f"CASE WHEN docs <= q OR {between} <= 0 THEN docs"
+        f" ELSE least(docs, greatest(1.0, m_{rule} * (1 - m_{rule}) / {between} - 1)) END"
+    )
+    strength = f"CASE WHEN m_{rule} IN (0, 1) THEN docs ELSE {strength} END"
+    return f"(f_{rule} + m_{rule} * ({strength})) / (n + ({strength}))"
+
+
+ORACLES["op6_host_quality"] = f"""
+WITH split AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, {WORDS.format("text")} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length(translate(x, {SPACES}, '')) > 0) AS lines
+  FROM documents),
+runs AS (
+  SELECT doc_id, unnest(range(1, len(w) - {host_quality.WINDOW} + 2)) AS i, w FROM split WHERE len(w) >= {host_quality.WINDOW}),
+keyed AS (SELECT doc_id, i, array_to_string(w[i:i + {host_quality.WINDOW - 1}], ' ') AS run FROM runs),
+again AS (SELECT doc_id, i FROM keyed QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {host_quality.WINDOW})) AS p FROM again) GROUP BY doc_id),
+counted AS (
+  SELECT s.doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(t, {SPACES}, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '{host_quality.SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+  FROM split s LEFT JOIN covered c USING (doc_id)),
+hosts AS (
+  SELECT source, CAST(count(*) AS DOUBLE) AS n, {", ".join(f"CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS DOUBLE) AS f_{r}" for r, c in _RULES.items())}
+  FROM counted GROUP BY source),
+means AS (
+  SELECT sum(n) AS docs, count(*) AS k, sum(n * n) / sum(n) AS q, {", ".join(f"sum(f_{r}) / sum(n) AS m_{r}" for r in _RULES)} FROM hosts),
+spreads AS (
+  SELECT any_value(docs) AS docs, any_value(k) AS k, any_value(q) AS q, {", ".join(f"any_value(m_{r}) AS m_{r}, sum(n * (f_{r} / n - m_{r}) ** 2) AS s_{r}" for r in _RULES)}
+  FROM hosts, means),
+rates AS (SELECT source, greatest({", ".join(map(_rate, _RULES))}) AS rate FROM hosts, spreads)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       ({_RULES["short"]}) OR ({_RULES["repeats"]}) AS base_failed,
+       NOT (({_RULES["short"]}) OR ({_RULES["repeats"]})) AND rate <= {host_quality.HOST_RATE} AS kept
+FROM counted c JOIN rates r ON c.source IS NOT DISTINCT FROM r.source
+"""
+
+
+def _matches(kind: str) -> str:
+    """All matches of one kind, walked through as the Spark side does."""
+    pattern, least = {**secrets.BASE, **secrets.WIDER}[kind]
+    inner = 3 if kind in ("assign", "bearer") else 2
+    walk = "(?s:(.*?))" + pattern
+    parts = ", ".join(
+        f"unnest(regexp_extract_all(t, $q${walk}$q$, {g})) AS {name}" for g, name in ((1, "gap"), (2, "whole"), (inner, "val"))
+    )
+    return f"""
+      SELECT doc_id, source, '{kind}' AS kind, {secrets.KINDS.index(kind)} AS ord, val,
+             sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY i) - length(whole) AS a,
+             sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY i) AS b
+      FROM (SELECT doc_id, source, {parts}, generate_subscripts(regexp_extract_all(t, $q${walk}$q$, 1), 1) AS i FROM texts)
+      QUALIFY length(val) >= {least}"""
+
+
+_LISTED = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord, b)"
+ORACLES["op10_secret_owners"] = f"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(map(_matches, secrets.KINDS))}),
+base AS (SELECT * FROM found WHERE ord < {len(secrets.BASE)}),
+outside AS (
+  SELECT * FROM found f WHERE ord >= {len(secrets.BASE)}
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = f.doc_id AND b.a <= f.a AND f.b <= b.b)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM outside),
+owners AS (SELECT val, count(DISTINCT coalesce(source, chr(0))) AS owners FROM every GROUP BY val),
+live AS (
+  SELECT e.* FROM every e JOIN owners USING (val)
+  WHERE owners <= {secrets.OWNERS} AND len(list_distinct(string_split(val, ''))) >= {secrets.VARIETY}
+  AND NOT regexp_matches(val, '{secrets.PLACEHOLDER}')),
+told AS (SELECT * FROM base UNION ALL SELECT * FROM live WHERE ord >= {len(secrets.BASE)}),
+based AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE)}, {_LISTED} AS listed FROM base GROUP BY doc_id),
+spanned AS (SELECT doc_id, {_LISTED} AS spans FROM told GROUP BY doc_id),
+lives AS (SELECT doc_id, count(*) AS n FROM live GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)}, sha256(coalesce(listed, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, CAST(coalesce(l.n, 0) AS INTEGER) AS n_credentials
+FROM documents d LEFT JOIN based b ON b.doc_id = d.doc_id LEFT JOIN spanned s ON s.doc_id = d.doc_id
+LEFT JOIN lives l ON l.doc_id = d.doc_id
+"""
