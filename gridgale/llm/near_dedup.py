@@ -28,6 +28,7 @@ POSITIONS = 4 * CHUNKS
 DISTANCE = 2 * CHUNKS - 1
 BATCH_WORDS = 1 << 20
 BROADCAST_ROWS = 1_000_000
+BLOCK = 512  # rows of a group that meet in one task
 FIELD = 0xFFFF
 SIGN = [f"sign{c}" for c in range(CHUNKS)]
 
@@ -117,17 +118,101 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.binary())], names=["id", "items"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose full sets are similar enough."""
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """The runs of rows with equal columns `by`, also where a run goes over several batches."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        linked = []
-        for one, two in zip(batch["one"], batch["two"]):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
-            both = np.concatenate([x, y])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            linked.append(DENOMINATOR * shared >= NUMERATOR * (len(both) - shared))
-        yield batch.filter(pa.array(linked)).select(["a", "b"])
+        if not len(batch):
+            continue
+        marks = np.stack([batch[c].to_numpy() for c in by])
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1), len(batch)]
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            part = batch.slice(begin, end - begin)
+            if held and any(held[0][c][0] != part[c][0] for c in by):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In each block of a key: the ids that are near one another, each with those it is to be compared with.
+
+    Pairs of one component are left out, and a pair is taken only under the first of the
+    keys that it shares.
+    """
+    for table in _groups(batches, ["pos", "key", "i", "j"]):
+        pos, i, j = (table[c][0].as_py() for c in ("pos", "i", "j"))
+        ids, roots, sizes, parts = (table[c].to_numpy() for c in ("id", "root", "n", "part"))
+        signs = np.stack([table[c].to_numpy() for c in SIGN], axis=1).view(np.uint16).reshape(len(ids), POSITIONS)
+        chunk, position = divmod(pos, 4)
+        left = np.flatnonzero(parts == i)
+        right = left if i == j else np.flatnonzero(parts == j)
+        lists: dict[int, list[int]] = {}
+        for begin in range(0, len(left), 64):
+            some = left[begin : begin + 64]
+            open_ = roots[some][:, None] != roots[right][None]
+            if i == j:
+                open_ &= some[:, None] < right[None]
+            low, high = (f(sizes[some][:, None], sizes[right][None]) for f in (np.minimum, np.maximum))
+            x, y = np.nonzero(open_ & (DENOMINATOR * low >= NUMERATOR * high))
+            for k in range(0, len(x), 1 << 16):
+                a, b = some[x[k : k + (1 << 16)]], right[y[k : k + (1 << 16)]]
+                differ = (signs[a] != signs[b]).reshape(-1, CHUNKS, 4).sum(axis=2)
+                here = differ[:, chunk]
+                first = (differ[:, :chunk] > 1).all(axis=1) & ((here == 1) | ((here == 0) & (position == 0)))
+                hit = first & (differ.sum(axis=1) <= DISTANCE)
+                for p, q in zip(a[hit].tolist(), b[hit].tolist()):
+                    lists.setdefault(p, []).append(int(ids[q]))
+                    lists.setdefault(q, [])
+        if lists:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_signed(hash((pos, table["key"][0].as_py(), i, j)) & ((1 << 64) - 1))] * len(lists), pa.int64()),
+                    pa.array([int(ids[p]) for p in lists], pa.int64()), pa.array(list(lists.values()), pa.list_(pa.int64())),
+                ],
+                names=["g", "id", "others"],
+            )
+
+
+def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In each group: compares the full sets of the listed pairs, and returns the links that connect
+    what is connected; a link between rows that are connected already is not needed."""
+    for table in _groups(batches, ["g"]):
+        ids = table["id"].to_pylist()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table["items"]]
+        ends = np.cumsum([0, *map(len, sets)])
+        items, place = np.unique(np.concatenate(sets), return_inverse=True)
+        rows_of: dict[int, list[int]] = {}
+        for row, key in enumerate(ids):
+            rows_of.setdefault(key, []).append(row)
+        root = {key: key for key in rows_of}
+
+        def find(key: int) -> int:
+            while root[key] != key:
+                root[key] = key = root[root[key]]
+            return key
+
+        links, mark = [], np.zeros(len(items), bool)
+        for row, others in enumerate(table["others"].to_pylist()):
+            if not others:
+                continue
+            own = place[ends[row] : ends[row + 1]]
+            mark[own] = True
+            for other in others:
+                a, b = find(ids[row]), find(other)
+                for r in rows_of.get(other, ()):
+                    if a == b:
+                        break
+                    shared = int(np.count_nonzero(mark[place[ends[r] : ends[r + 1]]]))
+                    if DENOMINATOR * shared >= NUMERATOR * (len(own) + len(sets[r]) - shared):
+                        links.append((ids[row], other))
+                        root[b] = a
+                        break
+            mark[own] = False
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
 
 
 def lookup_keys() -> Column:
@@ -164,31 +249,44 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _confirmed(pairs: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (`a`, `b`) that are links: near by signature, then by full sets."""
+def _near_enough(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs whose sizes allow a link and whose signatures are near."""
     def side(name: str) -> DataFrame:
         return signs.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), *[F.col(c).alias(f"{name}_{c}") for c in SIGN])
 
     def sign(name: str) -> list[Column]:
         return [F.col(f"{name}_{c}") for c in SIGN]
 
-    near = written(
+    return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .where(DENOMINATOR * F.least("n_a", "n_b") >= NUMERATOR * F.greatest("n_a", "n_b"))
         .where(distance(sign("a"), sign("b")) <= DISTANCE)
-        .select("a", "b").distinct(),
-        "near-pairs",
+        .select("a", "b").distinct()
+    )
+
+
+def _star_groups(stars: DataFrame) -> DataFrame:
+    """(`g`, `id`, `others`) for pairs of a first id `a` and another one `b`; a first id with many
+    others comes in as many groups."""
+    counts = stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
+    dealt = stars.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "salts"))
+    firsts = counts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    group = F.xxhash64("a", "salt").alias("g")
+    return dealt.select(group, F.col("b").alias("id"), F.array("a").alias("others")).unionByName(
+        firsts.select(group, F.col("a").alias("id"), F.array().cast("array<bigint>").alias("others"))
     )
-    involved = written(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "near-ids")
+
+
+def _linked(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links (`a`, `b`) that hold the listed pairs of (`g`, `id`, `others`) together, by full sets."""
+    involved = written(groups.select("id").distinct(), "near-ids")
     chosen = texts.join(_small(involved, involved.count()), "id", "left_semi")
     sets = written(
-        chosen.select("id", word_hashes(lower_ascii(F.col("text"))).alias("hashes")).mapInArrow(_sets, "id bigint, items binary"),
+        chosen.select("id", word_hashes(lower_ascii(F.col("text"))).alias("hashes")).mapInArrow(_sets, "id bigint, items binary").distinct(),
         "near-sets",
     )
-    one = sets.select(F.col("id").alias("a"), F.col("items").alias("one"))
-    two = sets.select(F.col("id").alias("b"), F.col("items").alias("two"))
-    met = near.join(one, "a").join(two, "b").select("a", "b", "one", "two")
-    return written(met.mapInArrow(_confirm, "a bigint, b bigint").distinct(), "near-links")
+    met = groups.join(sets, "id").repartition("g").sortWithinPartitions("g")
+    return written(met.select("g", "id", "others", "items").mapInArrow(_link, "a bigint, b bigint"), "near-links")
 
 
 def find_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -196,10 +294,11 @@ def find_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     over any number of links.
 
     Rows with equal sets are linked without comparing them: one id stands for the set.
-    Every key's smallest id is compared with the others under that key; then, where ids
-    under one key are still in different components, all such pairs that are near by
-    signature are. So no link between components is missed, and a large group of copies
-    costs one comparison a copy.
+    Every key's smallest id is compared with the others under that key, which settles most
+    copies at one comparison each. Then, where ids under one key are still in different
+    components, their signatures are compared in blocks, and all pairs that are near are
+    compared in full. So no link between components is missed, no pair is written out,
+    and a set travels once for each block that needs it.
 
     A null or empty text has an empty set and is linked with nothing. Rows that repeat
     an id are one document with several texts, linked when one of them is. A row with a
@@ -226,30 +325,30 @@ def find_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     ties = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     tied = members.join(ties, "id").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
 
-    keyed = signs.select("id", F.explode(lookup_keys()).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    buckets = written(keyed.join(shared.drop("last"), "key").distinct(), "near-buckets")
+    keyed = signs.select("id", F.posexplode(lookup_keys()).alias("pos", "key"))
+    shared = keyed.groupBy("pos", "key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    buckets = written(keyed.join(shared.drop("last"), ["pos", "key"]).distinct(), "near-buckets")
     texts = given.where(F.col("id").isNotNull())
     stars = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirmed(stars, signs, texts).unionByName(tied)
+    stars = written(_near_enough(stars, signs), "near-stars")
+    links = _linked(_star_groups(stars), texts).unionByName(tied)
 
     rooted = components(links, [])
-    placed = buckets.select("key", "id").join(rooted.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("root", "id").alias("root")
+    placed = buckets.select("pos", "key", "id").join(rooted.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "root", F.coalesce("root", "id")
     )
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    apart = placed.join(mixed.select("key"), "key").join(signs.drop("n"), "id")
-    one, two = apart.alias("one"), apart.alias("two")
-    pairs = one.join(
-        two,
-        (F.col("one.key") == F.col("two.key")) & (F.col("one.root") < F.col("two.root"))
-        & (distance([F.col(f"one.{c}") for c in SIGN], [F.col(f"two.{c}") for c in SIGN]) <= DISTANCE),
-    ).select(
-        F.least("one.id", "two.id").alias("a"), F.greatest("one.id", "two.id").alias("b")
-    ).distinct().join(stars, ["a", "b"], "left_anti")
-    pairs = written(pairs, "near-rest")
-    if not pairs.isEmpty():
-        rooted = components(links.unionByName(_confirmed(pairs, signs, texts)), [])
+    mixed = placed.groupBy("pos", "key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / BLOCK).alias("parts")
+    ).where("low < high").select("pos", "key", "parts")
+    parted = placed.join(mixed, ["pos", "key"]).join(signs, "id").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    # Each part meets each other part of its key, and itself.
+    facing = parted.withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    facing = facing.withColumns({"i": F.least("part", "_q"), "j": F.greatest("part", "_q")})
+    met = facing.select("pos", "key", "i", "j", "part", "id", "root", "n", *SIGN)
+    met = met.repartition("pos", "key", "i", "j").sortWithinPartitions("pos", "key", "i", "j")
+    near = written(met.mapInArrow(_near, "g bigint, id bigint, others array<bigint>"), "near-groups")
+    if not near.isEmpty():
+        rooted = components(links.unionByName(_linked(near, texts)), [])
     of_rep = members.groupBy("id").agg(F.min("rep").alias("rep")).join(
         rooted.select(F.col("node").alias("rep"), "root"), "rep", "left"
     ).select("id", F.coalesce("root", "rep").alias("root"))
