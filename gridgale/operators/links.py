@@ -27,17 +27,25 @@ def detections(storms: DataFrame, dt: float = 1.0, kind: str = "cyclonic") -> Da
     """Storms as records (`time`, `step`, `idx`, `node`, position, size, `type`, `n`).
 
     `step` counts time steps of `dt` hours from the epoch, so steps without detections
-    leave a gap. `idx` numbers the detections of a step in the order they were found.
+    leave a gap. `idx` numbers the detections of a step in the order they were found. Two
+    times in one step, or more detections than a node can number, are an error: nodes
+    would no longer be unique.
     """
     order = [c for c in ("idx", "label") if c in storms.columns][:1]
-    per_step = Window.partitionBy("time")
+    per_step = Window.partitionBy("step")
     seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("time"))
     step = F.round(seconds / F.lit(3600.0 * dt)).cast("long")
-    idx = F.row_number().over(per_step.orderBy(*order)) - 1
-    found = storms.select(
+    one_time = F.min("time").over(per_step) == F.max("time").over(per_step)
+    numbered = F.row_number().over(per_step.orderBy(*order)) - 1
+    idx = (
+        F.when(~one_time, F.raise_error(F.lit(f"several times in one step; give a dt below {dt} hours")))
+        .when(numbered >= 1 << IDX_BITS, F.raise_error(F.lit("too many detections in one step")))
+        .otherwise(numbered)
+    )
+    found = storms.withColumn("step", step).select(
         "time",
-        step.alias("step"),
-        idx.alias("idx"),
+        "step",
+        idx.cast("int").alias("idx"),
         F.col("lon").cast("double").alias("lon"),
         F.col("lat").cast("double").alias("lat"),
         F.col("amp_abs").alias("amp"),

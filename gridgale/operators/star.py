@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridgale.functions.keys import location_key, row_id
+from gridgale.functions.keys import location_key, observation_id, row_id
 from gridgale.functions.times import calendar_parts, from_epoch_ns
 
 # Labels of dimensions that the raw data does not fill, and fact names.
@@ -33,7 +33,7 @@ def _condition_id():
 def fact(weather: DataFrame) -> DataFrame:
     """One row per observation; `weather_id` points at the (still unknown) condition."""
     return weather.select(
-        row_id(F.col("time"), F.col("latitude"), F.col("longitude")).alias("fact_id"),
+        observation_id(F.col("time"), F.col("latitude"), F.col("longitude")).alias("fact_id"),
         F.col("time").alias("time_id"),
         location_key(F.col("latitude"), F.col("longitude")).alias("location_id"),
         _condition_id().alias("weather_id"),
@@ -59,9 +59,10 @@ def location_dimension(weather: DataFrame) -> DataFrame:
 
 
 def condition_dimension(weather: DataFrame) -> DataFrame:
-    """Distinct labels, then their id; a per-row id would make every row distinct."""
-    labels = weather.select(*[F.lit(UNKNOWN).alias(name) for name in CONDITION_LABELS]).distinct()
-    return labels.select(row_id(*[F.col(c) for c in CONDITION_LABELS]).alias("weather_id"), *CONDITION_LABELS)
+    """The one condition that the raw data knows, without reading it."""
+    return weather.sparkSession.range(1).select(
+        _condition_id().alias("weather_id"), *[F.lit(UNKNOWN).alias(name) for name in CONDITION_LABELS]
+    )
 
 
 def split(weather: DataFrame) -> dict[str, DataFrame]:
@@ -75,10 +76,11 @@ def split(weather: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_back(tables: dict[str, DataFrame]) -> DataFrame:
-    """Facts with their dimensions; which side is broadcast is left to measured sizes."""
+    """Facts with their dimensions. Conditions are one row, with the same key in every fact, and so
+    are broadcast; for the others that is left to measured sizes."""
     return (
         tables["fact_weather_measurements"]
         .join(tables["dim_time"], "time_id")
         .join(tables["dim_location"], "location_id")
-        .join(tables["dim_weather_conditions"], "weather_id")
+        .join(F.broadcast(tables["dim_weather_conditions"]), "weather_id")
     )

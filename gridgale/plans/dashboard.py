@@ -20,7 +20,8 @@ ATTRIBUTES = [
 
 
 def _day(day: date) -> tuple[datetime, datetime]:
-    return datetime.combine(day, time(0)), datetime.combine(day, time(23))
+    """From midnight to the last microsecond."""
+    return datetime.combine(day, time.min), datetime.combine(day, time.max)
 
 
 def day_frames(dashboard: DataFrame, day: date) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridgale.functions.keys import message_key, message_value
-from gridgale.functions.times import calendar_parts
+from gridgale.functions.times import calendar_parts, from_epoch_ns
 from gridgale.schema import MESSAGE
+from gridgale.session import cut_lineage
 
 DAY_COLUMNS = ["year", "month", "day"]
 
@@ -46,12 +48,42 @@ def write_by_day(
     writer.parquet(path)
 
 
-def land(df: DataFrame | None, path: str, time_column: str = "time", append: bool = False) -> None:
-    """Take in a freshly fetched batch: times become instants, rows go to day folders."""
+def _landed(df: DataFrame, path: str) -> DataFrame | None:
+    """What lies in the folder already; nothing before the first batch."""
+    try:
+        return df.sparkSession.read.parquet(path)
+    except AnalysisException as nothing:
+        if nothing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def land(
+    df: DataFrame | None, path: str, time_column: str = "time", append: bool = False,
+    keys: tuple[str, ...] = ("latitude", "longitude"),
+) -> None:
+    """Take in a freshly fetched batch: times become instants, rows go to day folders.
+
+    Times may be instants, texts, or whole numbers, which are epoch nanoseconds. A batch may
+    hold part of a day: it replaces the rows with its own times and `keys`, and the other
+    rows of its days stay. Only folders of these days are read and written again, from a
+    copy in the shared folder. `append` adds the rows without looking.
+    """
     if df is None:
         raise ValueError("there is no batch to land")
-    if not dict(df.dtypes)[time_column].startswith("timestamp"):
+    kind = dict(df.dtypes)[time_column]
+    if kind in ("bigint", "int"):
+        df = df.withColumn(time_column, from_epoch_ns(F.col(time_column).cast("long")))
+    elif not kind.startswith("timestamp"):
         df = df.withColumn(time_column, F.col(time_column).cast("timestamp_ntz"))
+    old = None if append else _landed(df, path)
+    if old is not None:
+        known = [time_column, *[k for k in keys if k in df.columns]]
+        batch = cut_lineage(df)
+        days = with_day_columns(batch, time_column).select(*DAY_COLUMNS).distinct()
+        touched = old.join(days, DAY_COLUMNS, "left_semi").drop(*DAY_COLUMNS)
+        stays = touched.join(batch.select(*known).distinct(), known, "left_anti")
+        df = cut_lineage(stays.unionByName(batch, allowMissingColumns=True))
     write_by_day(df, path, time_column, mode="append" if append else "overwrite")
 
 

@@ -58,27 +58,37 @@ def to_files_and_table(
     once: bool = False,
     trigger: str = TRIGGER,
     table_options: dict[str, str] | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """One query that reads the topic once and writes both places, then reports the batch.
 
-    Files go to a `batch` folder of their own, replaced as a whole when a batch is run
-    again after a failure; the table is loaded from that folder, by the same rule. The
-    topic is not read again for that, nor for the count.
+    A batch is known by its run, the id that Spark keeps in the checkpoint, and its number:
+    a new checkpoint numbers from 0 again, but under a run of its own. Files go to a folder
+    of that run and batch, replaced as a whole when a batch is run again after a failure.
+    The table, in the connector `fmt`, is loaded from that folder with `run` and `batch` as
+    columns, in partitions by `day` of `time`; only the first batch after a start can have
+    been loaded before, and is then left as it is. The topic is not read again.
     """
     _outside(checkpoint, path)
+    started: list[int] = []
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path.rstrip('/')}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
         spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target = f"{path.rstrip('/')}/run={run}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(target)
         written = spark.read.schema(batch.schema).parquet(target)
         rows = written.count()  # from the file footers
         if table is not None and rows:
-            again = written.withColumn("batch", F.lit(batch_id).cast("long"))
-            if spark.catalog.tableExists(table):
-                again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-            else:
-                again.write.options(**(table_options or {})).partitionBy("batch").saveAsTable(table)
+            marked = written.withColumns(
+                {"run": F.lit(run), "batch": F.lit(batch_id).cast("long"), "day": F.to_date("time")}
+            )
+            loaded = not started and spark.catalog.tableExists(table) and not spark.table(table).where(
+                (F.col("run") == run) & (F.col("batch") == batch_id)
+            ).isEmpty()
+            if not loaded:
+                marked.write.format(fmt).mode("append").options(**(table_options or {})).partitionBy("day").saveAsTable(table)
+        started.append(batch_id)
         on_batch(batch_id, rows)
 
     return _writer(stream, checkpoint, once, trigger).foreachBatch(store).start()

@@ -165,6 +165,24 @@ def snk3_landing_twice(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(readers.read_table_files(spark, path))
 
 
+@query
+def snk3_landing_half_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Mornings, afternoons, and the mornings once more: nothing is lost and nothing doubled."""
+    path = shared_path(spark, "snk3h")
+    rows = fx.climate(spark, sf).select(*KEYS, "sp", "tcc")
+    for part in ("hour(time) < 12", "hour(time) >= 12", "hour(time) < 12"):
+        sinks.land(rows.where(part), path)
+    return _per_day(readers.read_table_files(spark, path))
+
+
+@query
+def snk3_landing_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw observations, whose times are nanoseconds."""
+    path = shared_path(spark, "snk3r")
+    sinks.land(fx.weather(spark, sf), path)
+    return _per_day(readers.read_table_files(spark, path))
+
+
 @query
 def snk3_landing_appended(spark: SparkSession, sf: str) -> DataFrame:
     path = _landed(spark, sf, "snk3a")
@@ -232,6 +250,19 @@ def snk9_batches_with_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("reported", F.lit(sum(n for _, n in seen)).cast("long"))
 
 
+@query
+def snk9_new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds under two checkpoints into the same places: each numbers its batches from 0."""
+    table, out, options = _table_name("live"), shared_path(spark, "snk9n-out"), {"path": shared_path(spark, "snk9n-table")}
+    for days in (0, -10):
+        stream_sinks.to_files_and_table(
+            _stream(spark, sf, "snk9n", days), out, table, shared_path(spark, "snk9n-checkpoint"), once=True, table_options=options,
+        ).awaitTermination()
+    files, loaded = spark.read.parquet(out), spark.table(table)
+    counts = files.groupBy(F.to_date("time").alias("day")).agg(F.count(F.lit(1)).alias("files"))
+    return counts.join(loaded.groupBy("day").agg(F.count(F.lit(1)).alias("table")), "day")
+
+
 @query
 def snk10_published_messages(spark: SparkSession, sf: str) -> DataFrame:
     """(key, value) messages sent to a sink and split again."""

@@ -55,6 +55,8 @@ ORACLES = {
         f" {rd(f'max(sp/(287.05E0*({TC} + 273.15E0)))', 5)} AS density FROM grid WHERE tp IS NOT NULL GROUP BY 1, 2, 3"
     ),
     "snk3_landing_twice": climate(PER_DAY.format(times=1, where="")),
+    "snk3_landing_half_days": climate(PER_DAY.format(times=1, where="")),
+    "snk3_landing_raw": grid(PER_DAY.format(times=1, where="")),
     "snk3_landing_appended": climate(PER_DAY.format(times=2, where="")),
     "snk4_appended_table": storms(
         f"SELECT time, id, lon_storm, lat_storm, {rd('amp_storm', 4)} AS amp_storm,"
@@ -74,6 +76,10 @@ ORACLES = {
     "snk9_batches_with_counts": grid(
         "SELECT unnest(['files', 'table']) AS name, (SELECT count(*) FROM grid) AS rows, (SELECT count(*) FROM grid) AS reported"
     ),
+    "snk9_new_checkpoint": grid(
+        """SELECT day, count(*) AS files, count(*) AS "table" FROM (SELECT CAST(time AS DATE) AS day FROM grid
+  UNION ALL SELECT CAST(time - INTERVAL 10 DAY AS DATE) FROM grid) GROUP BY day"""
+    ),
     "snk10_published_messages": grid(
         "SELECT strftime(time, '%Y-%m-%d %H:%M:%S') || '_' || CAST(latitude AS VARCHAR) || '_' || CAST(longitude AS VARCHAR) AS key,"
         f" CAST(17 AS BIGINT) AS fields, {rd('t2m', 4)} AS t2m, {rd('tcc', 4)} AS tcc, sst IS NULL AS no_sst FROM grid"

@@ -53,7 +53,7 @@ ORACLES = {
     ),
     "joi3_drop_over_high_ground": chain(*GOOD)
     + f"""
-SELECT time, lon, lat, n FROM ({FOUND}) d WHERE NOT EXISTS (SELECT 1 FROM grid g
+SELECT time, lon, lat, count(*) OVER (PARTITION BY time) AS n FROM ({FOUND}) d WHERE NOT EXISTS (SELECT 1 FROM grid g
   WHERE (g.iy*97 + g.ix*53) % 1500 > 1000 AND g.latitude = round_even(d.lat*4, 0)/4 AND g.longitude = round_even(d.lon*4, 0)/4)""",
     "joi4_nearest_next": chain(*GOOD)
     + f""", found AS (SELECT * FROM ({FOUND})),

@@ -122,7 +122,10 @@ ORACLES = {
         " strftime(time, '%Y') AS year FROM grid"
     ),
     "prj15_location_key": keyed(location_id=LOCATION_KEY),
-    "prj16_row_ids": grid("SELECT CAST(count(*) AS BIGINT) AS rows, count(DISTINCT (time, latitude, longitude)) AS ids FROM grid"),
+    "prj16_row_ids": grid(
+        "SELECT latitude, longitude, CAST(epoch(time) / 60 AS BIGINT) * 2147483648 + CAST((latitude + 90) * 100 AS BIGINT) * 65536"
+        " + CAST((longitude + 180) * 100 AS BIGINT) AS id FROM grid"
+    ),
     "prj17_fact_projection": grid(
         f"SELECT {NS} AS time_id, {LOCATION_KEY} AS location_id, {rd('u10', 4)} AS u_wind, {rd('v10', 4)} AS v_wind,"
         f" {rd('d2m', 4)} AS dewpoint_temp, {rd('t2m', 4)} AS air_temp, {rd('msl', 4)} AS mean_sea_level_pressure,"

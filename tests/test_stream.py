@@ -51,19 +51,24 @@ def test_checkpoint_must_lie_outside_the_data(spark, tmp_path):
         stream_sinks.to_files(stream, str(tmp_path / "out"), str(tmp_path / "out/checkpoint"), once=True)
 
 
-def test_a_batch_run_again_replaces_itself(spark, tmp_path):
+def test_a_new_checkpoint_adds_and_a_batch_run_again_does_not(spark, tmp_path):
+    import shutil
+
     write(tmp_path / "in", "a.txt", GOOD, GOOD)
     table = f"again_{tmp_path.name.replace('-', '_')}"
     seen = []
-    for checkpoint in ("c1", "c2"):  # a lost checkpoint makes batch 0 run a second time
+    for checkpoint in ("c1", "c1", "c2"):  # the second run finds its batch not yet committed
         stream = feed.parse_stream(feed.read_messages(spark, "text", str(tmp_path / "in")))
         stream_sinks.to_files_and_table(
             stream, str(tmp_path / "out"), table, str(tmp_path / checkpoint),
             on_batch=lambda i, n: seen.append((i, n)), once=True, table_options={"path": str(tmp_path / "table")},
         ).awaitTermination()
-    assert seen == [(0, 2), (0, 2)]
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
-    assert spark.table(table).count() == 2
+        if len(seen) == 1:
+            shutil.rmtree(tmp_path / "c1" / "commits")
+    assert seen == [(0, 2), (0, 2), (0, 2)]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    assert spark.table(table).count() == 4
+    assert spark.table(table).select("run", "batch").distinct().count() == 2
 
 
 def test_messages_survive_the_round_trip(spark):
