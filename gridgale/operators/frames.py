@@ -24,37 +24,36 @@ def _on_grid(df: DataFrame, spec: GridSpec, time_column: str, extra: Sequence[Co
     ).where(F.col("iy").between(0, spec.ny - 1) & F.col("ix").between(0, spec.nx - 1))
 
 
-def every_cell(times: DataFrame, spec: GridSpec) -> DataFrame:
-    """All cells of the grid for each distinct time."""
-    cell = times.select("time", F.explode(F.sequence(F.lit(0), F.lit(spec.cells - 1))).alias("cell"))
-    return cell.select(
-        "time",
-        F.floor(F.col("cell") / F.lit(spec.nx)).cast("int").alias("iy"),
-        (F.col("cell") % F.lit(spec.nx)).alias("ix"),
-    )
-
-
-def to_cells(
-    df: DataFrame,
-    spec: GridSpec,
-    values: dict[str, Column],
-    time_column: str = "time",
-    regular: bool = False,
-) -> DataFrame:
+def to_cells(df: DataFrame, spec: GridSpec, values: dict[str, Column], time_column: str = "time") -> DataFrame:
     """The rows of `df` that lie on the grid, one for every cell of every frame.
 
-    Cells a frame lacks come with null values, and repeated rows of a cell are folded
-    into one; folding starts map-side, so even a heavily repeated cell stays small.
-    Where `completeness` has shown each cell to be there exactly once, `regular` saves
-    that step and its shuffle.
+    Rows are shuffled by time once, and all that follows stays there. Copies of a cell are
+    folded to one of them, the one with the smallest known values in the order of
+    `values`, row by row and not column by column; then a frame has at most the grid's
+    cells, and the cells that it lacks are added with null values.
     """
+    names = list(values)
     known = [F.when(~F.isnan(v), v).cast("double").alias(n) for n, v in values.items()]
-    cells = _on_grid(df, spec, time_column, known)
-    if not regular:
-        blank = every_cell(df.select(F.col(time_column).alias("time")).distinct(), spec)
-        cells = cells.unionByName(blank, allowMissingColumns=True)
-        cells = cells.groupBy("time", "iy", "ix").agg(*[F.max(n).alias(n) for n in values])
-    return cells.repartition("time")
+    iy, ix = spec.iy(F.col("latitude")), spec.ix(F.col("longitude"))
+    inside = iy.between(0, spec.ny - 1) & ix.between(0, spec.nx - 1)
+    placed = df.select(F.col(time_column).alias("time"), F.when(inside, spec.raster(iy, ix)).cast("int").alias("cell"), *known)
+    # Unknown values come after all known ones.
+    ranks = [x.alias(n) for v in names for x, n in ((F.col(v).isNull(), f"_{v}"), (F.col(v), v))]
+    folded = placed.repartition("time").groupBy("time", "cell").agg(F.min(F.struct(*ranks)).alias("_v"))
+    listed = folded.groupBy("time").agg(
+        F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("cell", *[F.col("_v")[n].alias(n) for n in names]))).alias("_have")
+    )
+    every = F.sequence(F.lit(0), F.lit(spec.cells - 1))
+    lacking = F.transform(
+        F.array_except(every, F.transform("_have", lambda c: c["cell"])),
+        lambda c: F.struct(c.alias("cell"), *[F.lit(None).cast("double").alias(n) for n in names]),
+    )
+    whole = F.when(F.size("_have") == spec.cells, F.col("_have")).otherwise(F.concat("_have", lacking))
+    cells = listed.select("time", F.explode(whole).alias("_c"))
+    return cells.select(
+        "time", F.floor(F.col("_c.cell") / F.lit(spec.nx)).cast("int").alias("iy"), (F.col("_c.cell") % F.lit(spec.nx)).alias("ix"),
+        *[F.col("_c")[n].alias(n) for n in names],
+    )
 
 
 BITS = 64
@@ -114,10 +113,6 @@ def missing_cells(df: DataFrame, spec: GridSpec, value: str, time_column: str =
     )
 
 
-def is_regular(df: DataFrame, spec: GridSpec, time_column: str = "time") -> bool:
-    return completeness(df, spec, time_column).where(~F.col("regular")).isEmpty()
-
-
 def whole_frames(cells: DataFrame, spec: GridSpec, value: str) -> DataFrame:
     """One row per time with the flattened frame, north-west cell first; for export."""
     raster = spec.raster(F.col("iy"), F.col("ix"))

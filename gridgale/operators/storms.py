@@ -21,35 +21,29 @@ from gridgale.session import cut_lineage
 LEVELS = range(92000, 105000, 400)
 
 
-def pressure_cells(df: DataFrame, spec: GridSpec, regular: bool = False) -> DataFrame:
+def pressure_cells(df: DataFrame, spec: GridSpec) -> DataFrame:
     """Pressure and wind speed of every cell."""
     values = {"msl": F.col("msl"), "wind": physics.wind_speed(F.col("u10"), F.col("v10"))}
-    return to_cells(df, spec, values, regular=regular)
+    return to_cells(df, spec, values)
 
 
-def smoothed_cells(
-    df: DataFrame, spec: GridSpec, params: rg.DetectParams, regular: bool = False
-) -> tuple[DataFrame, GridSpec]:
+def smoothed_cells(df: DataFrame, spec: GridSpec, params: rg.DetectParams) -> tuple[DataFrame, GridSpec]:
     """Smoothed pressure and wind speed, on the grid widened for a globe if asked."""
     cells = smooth(
-        pressure_cells(df, spec, regular), spec, "msl", "msl", cut_lon=params.cut_lon, cut_lat=params.cut_lat
+        pressure_cells(df, spec), spec, "msl", "msl", cut_lon=params.cut_lon, cut_lat=params.cut_lat
     )
     return wrap_globe(cells, spec, params.globe_degrees) if params.globe else (cells, spec)
 
 
-def region_cells(
-    df: DataFrame, spec: GridSpec, params: rg.DetectParams, regular: bool = False
-) -> tuple[DataFrame, GridSpec]:
+def region_cells(df: DataFrame, spec: GridSpec, params: rg.DetectParams) -> tuple[DataFrame, GridSpec]:
     """Labelled cells of all candidate regions."""
-    cells, spec = smoothed_cells(df, spec, params, regular)
+    cells, spec = smoothed_cells(df, spec, params)
     return label_cells(rg.masked_cells(cells, spec, "msl", params, wind="wind"), spec, rg.FRAME_FACTS), spec
 
 
-def detect(
-    df: DataFrame, spec: GridSpec, params: rg.DetectParams = rg.DetectParams(), regular: bool = False
-) -> DataFrame:
+def detect(df: DataFrame, spec: GridSpec, params: rg.DetectParams = rg.DetectParams()) -> DataFrame:
     """One row per storm (`time`, `label`): centre, amplitudes, area, strongest wind."""
-    cells, spec = region_cells(df, spec, params, regular)
+    cells, spec = region_cells(df, spec, params)
     return rg.place(rg.accept(rg.measure_regions(cells, spec, params), spec, params), spec, params)
 
 
@@ -132,7 +126,6 @@ def hourly_storms(
     prefix: str = "2022",
     emit_quiet_hours: bool = False,
     with_masks: bool = True,
-    regular: bool = False,
 ) -> DataFrame:
     """The storm table: at most one row per time, with the storm's running id.
 
@@ -142,7 +135,7 @@ def hourly_storms(
     Frames are worked through once: their few storm rows are written out before ids
     are given, since naming reads them several times.
     """
-    cells, out_spec = region_cells(df, spec, params, regular)
+    cells, out_spec = region_cells(df, spec, params)
     storms = rg.place(rg.accept(rg.measure_regions(cells, out_spec, params), out_spec, params), out_spec, params)
     hours = one_row_per_frame(storms, out_spec)
     if not with_masks:
@@ -167,7 +160,6 @@ def detect_levels(
     params: rg.DetectParams = rg.DetectParams(require_internal_extremum=True, center="region_min"),
     levels: range = LEVELS,
     topdown: bool = True,
-    regular: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Search level by level; the interiors of storms found are taken out for later levels.
 
@@ -180,7 +172,7 @@ def detect_levels(
     nothing new: of these levels only the first one searched is kept.
     """
     params = replace(params, cyc="cyclonic", globe=False)
-    base = cut_lineage(to_cells(df, spec, {"msl": F.col("msl")}, regular=regular))
+    base = cut_lineage(to_cells(df, spec, {"msl": F.col("msl")}))
     span = base.agg(F.min("msl").alias("low"), F.max("msl").alias("high")).first()
     ordered = sorted(levels, reverse=topdown)
     useful = [x for x in ordered if span["low"] is not None and x > span["low"]]

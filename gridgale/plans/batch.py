@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridgale.grid import GridSpec, VIETNAM_GRID
 from gridgale.operators import merge, reports, star, storms
-from gridgale.operators.frames import is_regular
 from gridgale.operators.regions import DetectParams
 from gridgale.sources import readers, sinks
 
@@ -49,14 +48,10 @@ def storm_job(
     table_options: dict[str, str] | None = None,
     **hourly,
 ) -> None:
-    """Detect the storms of a time range and append them to a table.
-
-    A first light pass over the keys tells whether every frame is regular; only if
-    not, gaps are filled and copies folded before the storms are looked for.
-    """
+    """Detect the storms of a time range and append them to a table."""
     joined = readers.read_with_time_cast(spark, joined_root)
     rows = readers.between_times(joined, start, end).select("time", "latitude", "longitude", "u10", "v10", "msl")
-    found = storms.hourly_storms(rows, spec, params, regular=is_regular(rows, spec), **hourly)
+    found = storms.hourly_storms(rows, spec, params, **hourly)
     sinks.append_table(found, table, fmt, **(table_options or {}))
 
 

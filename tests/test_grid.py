@@ -80,7 +80,7 @@ def test_gaps_and_copies_do_not_shift_cells(spark):
     state = {r["time"]: r for r in frames.completeness(df, spec).collect()}
     assert [state[START + dt.timedelta(hours=t)]["complete"] for t in range(3)] == [True, False, True]
     assert not any(r["regular"] for r in state.values())
-    assert frames.is_regular(table(spark, spec, stack), spec)
+    assert all(r["regular"] for r in frames.completeness(table(spark, spec, stack), spec).collect())
 
 
 @pytest.mark.parametrize("nx", [9, 64, 70])
@@ -217,13 +217,11 @@ def test_missing_cells_join_the_mask_and_its_wind(spark):
     assert row["regions_storm"].count("1,") - row["regions_storm"].startswith("(1,") == 1 + 9
 
 
-def test_regular_shortcut_gives_the_same(spark):
-    spec = GridSpec(12, 14, 24.0, 102.0)
-    df = table(spark, spec, field(9, 4, 12, 14))
-    params = DetectParams(rel_amp_thresh=0.0, npix_min=5)
-    a = storms.hourly_storms(df, spec, params, regular=True).collect()
-    b = storms.hourly_storms(df, spec, params).collect()
-    assert sorted(a) == sorted(b) and len(a) > 0
+def test_copies_fold_to_one_whole_row(spark):
+    rows = [(START, 24.0, 102.0, p, w) for p, w in ((3.0, 1.0), (None, 0.5), (2.0, 9.0), (2.0, None))] + [(START, 80.0, 102.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, latitude double, longitude double, p double, w double")
+    got = frames.to_cells(df, GridSpec(1, 2, 24.0, 102.0), {"p": F.col("p"), "w": F.col("w")}).collect()
+    assert sorted((r["iy"], r["ix"], r["p"], r["w"]) for r in got) == [(0, 0, 2.0, 9.0), (0, 1, None, None)]
 
 
 @pytest.mark.parametrize("topdown", [True, False])
