@@ -66,6 +66,10 @@ ORACLES = {
         " FROM grid GROUP BY time"
     ),
     "grd2_point_series": grid(f"SELECT time, {rd('msl', 4)} AS msl FROM grid WHERE latitude = 22.0 AND longitude = 104.0"),
+    "grd1_copies": grid(
+        f"SELECT time, iy, ix, {rd('CASE WHEN c % 7 = 0 THEN msl - 5.0E0 WHEN c % 13 = 0 THEN NULL ELSE msl END', 4)} AS msl,"
+        f" {rd('CASE WHEN c % 7 = 0 THEN -u10 WHEN c % 13 = 0 THEN NULL ELSE u10 END', 4)} AS u10 FROM (SELECT *, iy*15 + ix AS c FROM grid)"
+    ),
     "grd3_filled": grid(f"SELECT time, iy, ix, {rd('filled', 6)} AS filled FROM ({FILLED})"),
     "grd3_smoothed_with_gaps": chain(
         "src AS MATERIALIZED (SELECT * FROM grid)",
@@ -119,6 +123,9 @@ ORACLES = {
     + f"""
 SELECT f.time, lon, lat, idx, n, 'cyclonic' AS type, {rd('amp_abs', 4)} AS amp, {rd('area', 4)} AS area FROM
  (SELECT *, amp_abs, {area('n_cells', 'low_lat')} AS area FROM good) s JOIN ({FOUND}) f ON f.time = s.time AND f.lon = s.low_lon AND f.lat = s.low_lat""",
+    "trk1_half_hours": chain(*GOOD)
+    + f"""
+SELECT count(*) AS rows, count(*) AS nodes, count(DISTINCT time) AS steps, max(idx) AS last FROM ({FOUND})""",
     "trk4_lasting_tracks": track_lengths(
         f"SELECT track_id, points, {rd('length_km', 3)} AS length_km, {rd('straight_km', 3)} AS straight_km FROM summary WHERE {KEEP}"
     ),

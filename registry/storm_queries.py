@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridgale.functions import times
 from gridgale.grid import GridSpec
-from gridgale.operators import frames, regions, storms, tracks
+from gridgale.operators import frames, links, regions, storms, tracks
 from gridgale.operators.regions import DetectParams
 from gridgale.operators.smoothing import fill_missing, smooth
 from gridgale.sources.coverage import day_bounds, hours_between
@@ -53,6 +53,16 @@ def grd2_point_series(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(frames.point_series(fx.grid(spark, sf), fx.SPEC, 22.0, 104.0, "msl"), 4, "msl")
 
 
+@query
+def grd1_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh cell twice, every thirteenth absent: copies fold to the lower one as it is."""
+    g, cell = fx.grid(spark, sf), F.col("iy") * 15 + F.col("ix")
+    lower = g.where(cell % 7 == 0).withColumns({"msl": F.col("msl") - 5.0, "u10": -F.col("u10")})
+    rows = g.where(cell % 13 != 0).unionByName(lower)
+    cells = frames.to_cells(rows, fx.SPEC, {"msl": F.col("msl"), "u10": F.col("u10")})
+    return longs(rounded(cells, 4, "msl", "u10"), "iy", "ix")
+
+
 @query
 def grd3_filled(spark: SparkSession, sf: str) -> DataFrame:
     cells = frames.to_cells(fx.grid(spark, sf), fx.SPEC, {"sst": F.col("sst")})
@@ -227,6 +237,18 @@ def trk1_detections(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rounded(d, 4, "amp", "area"), "idx", "n")
 
 
+@query
+def trk1_half_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames half an hour apart, in steps of half an hour: every detection a node of its own."""
+    found = storms.detect(fx.grid(spark, sf), fx.SPEC, regions.DetectParams(center="region_min"))
+    start = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")
+    half = F.timestamp_add("MINUTE", (F.timestamp_diff("MINUTE", start, "time") / 2).cast("int"), start)
+    d = links.detections(found.withColumn("time", half), dt=0.5)
+    return longs(d.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("node").alias("nodes"), F.count_distinct("step").alias("steps"), F.max("idx").alias("last")
+    ), "last")
+
+
 @query
 def trk2_initial_tracks(spark: SparkSession, sf: str) -> DataFrame:
     points = tracks.track(found_lows(spark, sf))

@@ -137,6 +137,18 @@ def test_components_of_a_long_chain(spark, keys):
         assert root == node
 
 
+@pytest.mark.parametrize("step", [1, -1])
+def test_a_long_path_settles_in_few_rounds(spark, monkeypatch, step):
+    """Labels that rise or fall along the path, and one whose smallest label is at an end."""
+    steps = []
+    cut = components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    edges = spark.range(1999).selectExpr(f"{step} * id AS a", f"{step} * (id + 1) AS b")
+    got = components.components(edges, [])
+    assert got.agg(F.count("*"), F.min("root"), F.max("root")).first() == (2000, *[min(0, step * 1999)] * 2)
+    assert len(steps) <= 2 + 2 * 25
+
+
 def measured(spark, spec, stack, params):
     cells = frames.to_cells(table(spark, spec, stack), spec, {"msl": F.col("msl")})
     cells = regions.masked_cells(cells, spec, "msl", params)
