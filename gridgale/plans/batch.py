@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridgale.grid import GridSpec, VIETNAM_GRID
 from gridgale.operators import merge, reports, star, storms
 from gridgale.operators.regions import DetectParams
+from gridgale.operators.windows import name_storms
+from gridgale.session import cut_lineage
 from gridgale.sources import readers, sinks
 
 
@@ -46,13 +49,29 @@ def storm_job(
     params: DetectParams = DetectParams(),
     fmt: str = "parquet",
     table_options: dict[str, str] | None = None,
+    append: bool = False,
     **hourly,
 ) -> None:
-    """Detect the storms of a time range and append them to a table."""
+    """Detect the storms of a time range and put them into a table.
+
+    The range's rows replace those that the table has for it, and storms are named anew over
+    the whole table, one row an hour at most: so a range may be run again, in parts and
+    in any order, and ids are those of one run over all. `append` adds the rows as they are.
+    """
     joined = readers.read_with_time_cast(spark, joined_root)
     rows = readers.between_times(joined, start, end).select("time", "latitude", "longitude", "u10", "v10", "msl")
     found = storms.hourly_storms(rows, spec, params, **hourly)
-    sinks.append_table(found, table, fmt, **(table_options or {}))
+    options = table_options or {}
+    if append or not spark.catalog.tableExists(table):
+        sinks.append_table(found, table, fmt, **options)
+        return
+    old = spark.table(table)
+    outside = old.join(readers.between_times(old.select("time").distinct(), start, end), "time", "left_anti")
+    hours = cut_lineage(outside.select(*found.columns).unionByName(found))
+    naming = {k: v for k, v in hourly.items() if k in ("threshold", "prefix")}
+    named = name_storms(hours.where("lon_storm IS NOT NULL").drop("id"), **naming)
+    quiet = hours.where(F.col("lon_storm").isNull())
+    sinks.replace_table(cut_lineage(named.select(*found.columns).unionByName(quiet)), table, fmt, **options)
 
 
 def landing_job(batch: DataFrame | None, out: str, append: bool = False) -> None:

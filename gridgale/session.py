@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from `spark.checkpoint.dir`.
 
     Only a local master may go without it; there a scratch folder is made, since
-    the one machine is the whole cluster.
+    the one machine is the whole cluster, and removed with the session's process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -46,7 +48,9 @@ def shared_folder(spark: SparkSession) -> str:
     if current is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridgale-"))
+        folder = tempfile.mkdtemp(prefix="gridgale-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
         current = spark.sparkContext.getCheckpointDir()
     # Spark appends a folder of its own to what was set; results go next to it.
     return current.rstrip("/")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridgale.operators import merge, reports, star, storms
+from gridgale.plans import batch
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
 from gridgale.session import shared_path
 from gridgale.sources import coverage, readers, sinks
@@ -200,6 +201,17 @@ def snk4_appended_table(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.table(table).drop("regions_storm"), 4, "amp_storm", "max_wind_speed", "area_storm")
 
 
+@query
+def grd25_two_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The storm job over the later frames, the earlier ones, and the later ones once more."""
+    root, table, path = shared_path(spark, "grd25-in"), _table_name("storms"), shared_path(spark, "grd25")
+    fx.grid(spark, sf).write.parquet(root)
+    late, early = ("2024-01-01 03:00:00", "2030-01-01 00:00:00"), ("2024-01-01 00:00:00", "2024-01-01 02:59:59")
+    for start, end in (late, early, late):
+        batch.storm_job(spark, root, start, end, table, fx.SPEC, table_options={"path": path})
+    return rounded(spark.table(table), 4, "amp_storm", "max_wind_speed", "area_storm")
+
+
 @query
 def snk5_replaced_table(spark: SparkSession, sf: str) -> DataFrame:
     table, path = _table_name("report"), shared_path(spark, "snk5")

@@ -119,6 +119,7 @@ ORACLES = {
         limit=f"2.0E0*sqrt({area('n_cells', 'interior_lat')}/(pi()*sqrt(1.0E0 - 0.62E0*0.62E0)))",
     ),
     "grd25_storms_of_all_hours": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
+    "grd25_two_ranges": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
     "trk1_detections": chain(*GOOD)
     + f"""
 SELECT f.time, lon, lat, idx, n, 'cyclonic' AS type, {rd('amp_abs', 4)} AS amp, {rd('area', 4)} AS area FROM

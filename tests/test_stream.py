@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridgale.plans import live
 from gridgale.schema import MESSAGE
 from gridgale.sources import sinks
 from gridgale.streaming import feed
@@ -71,6 +72,16 @@ def test_a_new_checkpoint_adds_and_a_batch_run_again_does_not(spark, tmp_path):
     assert spark.table(table).select("run", "batch").distinct().count() == 2
 
 
+def test_the_live_job_runs_from_feed_to_table(spark, tmp_path):
+    write(tmp_path / "in", "a.txt", GOOD, "1, 2")
+    table = f"live_{tmp_path.name.replace('-', '_')}"
+    live.stream_job(
+        spark, str(tmp_path / "out"), table, str(tmp_path / "c"), fmt="text", source=str(tmp_path / "in"), once=True,
+        table_options={"path": str(tmp_path / "table")},
+    )
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.table(table).count() == 2
+
+
 def test_messages_survive_the_round_trip(spark):
     values = {f.name: F.lit(1.5).cast(f.dataType) for f in MESSAGE.fields}
     values |= {n: F.lit("2024-01-11 05:00:00").cast("timestamp_ntz") for n in ("time", "valid_time")}
