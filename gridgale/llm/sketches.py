@@ -13,6 +13,7 @@ import numpy as np
 from gridgale.llm.common import mix64
 
 TABLES = 3
+SAMPLE_WIDTH = 8
 
 
 def checks(digests: np.ndarray) -> np.ndarray:
@@ -28,14 +29,12 @@ def places(digests: np.ndarray, width: int) -> np.ndarray:
 
 def add(counts: np.ndarray, sums: np.ndarray, marks: np.ndarray, sketch: np.ndarray, digests: np.ndarray, signs: np.ndarray, width: int) -> None:
     """Put digests into flat cells; `sketch` says which sketch each belongs to."""
-    size = TABLES * width
+    at = (places(digests, width) + sketch * (TABLES * width)).ravel()
     with np.errstate(over="ignore"):
-        value, check = digests * signs.astype(np.uint64), checks(digests) * signs.astype(np.uint64)
-    for cells in places(digests, width):
-        at = sketch * size + cells
-        counts += np.bincount(at, weights=signs, minlength=len(counts)).astype(np.int64)
-        np.add.at(sums, at, value)
-        np.add.at(marks, at, check)
+        signed = signs.astype(np.uint64)
+        np.add.at(counts, at, np.tile(signs, TABLES))
+        np.add.at(sums, at, np.tile(digests * signed, TABLES))
+        np.add.at(marks, at, np.tile(checks(digests) * signed, TABLES))
 
 
 def empty(sketches: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,33 +74,46 @@ def peel(counts: np.ndarray, sums: np.ndarray, marks: np.ndarray, width: int):
     return whole, *parts
 
 
+def estimates(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """About how many digests differ, from the counts in small sketches of every eighth digest.
+
+    Cells that hold as many of the one as of the other cancel, and the squares of the others
+    add up to the number of differences.
+    """
+    sets = [x[x & np.uint64(7) == 0] for x in (*one, *two)]
+    n = np.array([len(x) for x in sets])
+    pair = np.repeat(np.tile(np.arange(len(one)), 2), n)
+    signs = np.repeat(np.array([1, -1]), [n[: len(one)].sum(), n[len(one) :].sum()])
+    counts = np.zeros(len(one) * TABLES * SAMPLE_WIDTH, np.int64)
+    np.add.at(counts, (places(np.concatenate(sets), SAMPLE_WIDTH) + pair * (TABLES * SAMPLE_WIDTH)).ravel(), np.tile(signs, TABLES))
+    return 8 * (counts.reshape(len(one), -1) ** 2).sum(axis=1) // TABLES
+
+
 def differences(one: list[np.ndarray], two: list[np.ndarray], width: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each pair of sets what is only in the first and only in the second.
 
-    Sketches begin `width` cells wide. What does not peel is sketched again, as wide as the left-over counts
-    suggest and at least twice as wide as before, until all pairs have come out.
+    Sketches are as wide as the estimate asks for, and at least `width`. What does not
+    peel is sketched again, twice as wide, until all pairs have come out.
     """
     out: list = [None] * len(one)
-    todo = {width: list(range(len(one)))}
+    todo: dict[int, list[int]] = {}
+    for p, near in enumerate((estimates(one, two) * 3 // 5).tolist() if one else []):
+        todo.setdefault(max(width, 1 << near.bit_length()), []).append(p)
     while todo:
         wide = min(todo)
         pairs = todo.pop(wide)
-        size = TABLES * wide
         cells = empty(len(pairs), wide)
-        for sets, sign in ((one, 1), (two, -1)):
-            n = [len(sets[p]) for p in pairs]
-            digests = np.concatenate([sets[p] for p in pairs])
-            add(*cells, np.repeat(np.arange(len(pairs)), n), digests, np.full(len(digests), sign, np.int64), wide)
-        spread = (cells[0].reshape(-1, size) ** 2).sum(axis=1) // TABLES
+        sets = [x[p] for x in (one, two) for p in pairs]
+        n = np.array([len(x) for x in sets])
+        signs = np.repeat(np.array([1, -1]), [n[: len(pairs)].sum(), n[len(pairs) :].sum()])
+        add(*cells, np.repeat(np.tile(np.arange(len(pairs)), 2), n), np.concatenate(sets), signs, wide)
         whole, sketch, digest, sign = peel(*cells, wide)
-        order = np.argsort(sketch, kind="stable")
+        order = np.lexsort((sign, sketch))
         sketch, digest, sign = sketch[order], digest[order], sign[order]
-        bounds = np.searchsorted(sketch, np.arange(len(pairs) + 1))
+        ends = np.searchsorted(sketch * 2 + (sign > 0), np.arange(2 * len(pairs) + 1))
         for k, p in enumerate(pairs):
             if whole[k]:
-                mine = slice(bounds[k], bounds[k + 1])
-                out[p] = digest[mine][sign[mine] > 0], digest[mine][sign[mine] < 0]
+                out[p] = digest[ends[2 * k + 1] : ends[2 * k + 2]], digest[ends[2 * k] : ends[2 * k + 1]]
             else:
-                need = max(2 * wide, 1 << int(max(1, spread[k] * 6 // 10)).bit_length())
-                todo.setdefault(need, []).append(p)
+                todo.setdefault(2 * wide, []).append(p)
     return out
