@@ -2,8 +2,9 @@
 
 Patterns give candidates with their places. A candidate's value is known by its hash,
 and the corpus says in how many repositories and at how many owners that hash stands.
-A value that many owners have is an example copied from a manual; a value that looks
-live and that one owner has, or two, is a credential. Base kinds are reported in
+A value that many owners or many repositories have is an example copied from a manual; a
+value that looks live and that one owner has, or two, in a few repositories, is a
+credential. Base kinds are reported in
 any case, wider kinds only where their value is such a credential.
 """
 
@@ -36,6 +37,7 @@ WIDER = {
 KINDS = [*BASE, *WIDER]
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000000|1234567"
 OWNERS = 2
+REPOSITORIES = 10  # of all owners of a value together
 VARIETY = 8  # different characters of a value that looks live
 
 
@@ -90,11 +92,12 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def scan_secrets(
     docs: DataFrame, carry: list[str] | None = None, text: str = "text", owner: str = "source",
-    repository: str = "doc_id", most_owners: int = OWNERS,
+    repository: str = "doc_id", most_owners: int = OWNERS, most_repositories: int = REPOSITORIES,
 ) -> DataFrame:
     """`row` (the columns `carry`, by default all) with `base`, all base matches, and `added`, the
     wider ones taken for credentials; both arrays of (`start`, `order`, `end`, `kind`, `value`),
-    and `n_credentials`, how many matches of any kind are credentials.
+    and `n_credentials`, how many matches of any kind are credentials: their value looks live, and
+    it has at most `most_owners` owners and stands in at most `most_repositories` repositories.
 
     A wider match inside a base one is not added. A null or empty text has no matches.
     Repeated rows are scanned each, and count once in the ownership. Null owners and
@@ -123,8 +126,9 @@ def scan_secrets(
     ).withColumn("hash", F.sha2(F.col("match.value"), 256))
     value = F.col("match.value")
     live = (F.size(F.array_distinct(F.split(value, ""))) >= VARIETY) & ~value.rlike(PLACEHOLDER)
+    few = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
     credentials = (
-        candidates.where(live).join(ownership(candidates), "hash").where(F.col("owners") <= most_owners)
+        candidates.where(live).join(ownership(candidates).where(few), "hash")
         .groupBy("id").agg(F.collect_list("match").alias("matches"))
     )
     none = F.array().cast(scanned.schema["wide"].dataType)
