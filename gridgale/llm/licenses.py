@@ -41,6 +41,7 @@ WORDINGS = [
     "Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.",
     "This work is licensed under a {}.", "Distributed under the terms of the {}.",
 ]
+NOTICES = [("All-Rights-Reserved", "All rights reserved.")]
 LONGER = [
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
@@ -67,7 +68,7 @@ def templates() -> list[tuple[str, str]]:
     """(license, text) of all templates, without those whose words another one has already."""
     out, seen = [], set()
     notices = [(k, w.format(n)) for k, names in NAMES.items() for n in names for w in WORDINGS]
-    for name, text in [*notices, *LONGER]:
+    for name, text in [*notices, *LONGER, *NOTICES]:
         if (words := tuple(normalised(text))) not in seen:
             seen.add(words)
             out.append((name, text))

@@ -55,6 +55,23 @@ def test_license_lines_and_paragraphs(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+GIVEN_LINES = {  # the licence lines of the given documents
+    "All rights reserved.": "All-Rights-Reserved",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Released under the MIT License.": "MIT",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+def test_license_lines_of_the_given_documents(spark):
+    texts = [f"{prose(i, 30)}\n{line}\n{prose(50 + i, 20)}" for i, line in enumerate(GIVEN_LINES)]
+    got = licenses.scan_licenses(table(spark, [(i, t, "s") for i, t in enumerate(texts)]))
+    found = {r["d"]: [(texts[r["d"]][m["start"] : m["end"]], m["license"]) for m in r["matches"]]
+             for r in got.select(F.col("row.doc_id").alias("d"), "matches").collect()}
+    assert found == {i: [given] for i, given in enumerate(GIVEN_LINES.items())}
+
+
 def spans_by_hand(text, kind):
     pattern, least = {**secrets.BASE, **secrets.WIDER}[kind]
     group = 2 if kind in ("assign", "bearer") else 1
