@@ -72,6 +72,31 @@ def test_license_lines_of_the_given_documents(spark):
     assert found == {i: [given] for i, given in enumerate(GIVEN_LINES.items())}
 
 
+def test_licenses_inside_and_across_lines(spark):
+    of = lambda name: max((t for n, t in licenses.LONGER if n == name), key=len)
+    longest = lambda name: " ".join(of(name).split())
+    apache = "Licensed under the Apache License, Version 2.0"
+    cases = [
+        (f"{prose(1, 12)} build. {apache}. See {prose(2, 12)}", {"Apache-2.0"}),
+        (f"İİ {prose(3, 40)}\nx Licensed under the\nApache License, Version 2.0. {prose(4, 30)}", {"Apache-2.0"}),
+        (f"Copyright (c) 2019 Some One. All rights reserved. {prose(5, 9)}", {"Copyright", "All-Rights-Reserved"}),
+        (f"Copyright 2021 Some One\n{prose(5, 9)}", {"Copyright"}),
+        (longest("MIT"), {"MIT"}), (f"{prose(6, 50)} {longest('MIT')} {prose(7, 50)}", {"MIT"}),
+        (of("BSD-2-Clause").replace(" 2. ", "\n\n2. ").replace("met: ", "met:\n\n"), {"BSD-2-Clause"}),
+        (of("BSD-3-Clause").replace(" 3. ", "\n\n3. ").replace("met: ", "met:\n\n"), {"BSD-3-Clause"}),
+        (dict(licenses.LONGER)[licenses.BSD], {licenses.BSD}),
+        (f"{prose(11, 30)} it is.\n{apache}.", {"Apache-2.0"}), (prose(8, 300), set()), ("all rights are reserved", set()),
+    ]
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        cases += [(of(name), {name}), (f"{prose(9, 30)} {longest(name)} {prose(10, 30)}", {name})]
+    got = licenses.scan_licenses(table(spark, [(i, t, "s") for i, (t, _) in enumerate(cases)]))
+    got = {r["d"]: r["matches"] for r in got.select(F.col("row.doc_id").alias("d"), "matches").collect()}
+    assert [{m["license"] for m in got[i]} for i in range(len(cases))] == [want for _, want in cases]
+    assert [m["unit"] for i, (t, _) in enumerate(cases) if f"it is.\n{apache}" in t for m in got[i]] == ["line"]
+    for i in (0, 1):
+        assert [" ".join(cases[i][0][m["start"] : m["end"]].split()) for m in got[i]] == [apache]
+
+
 def spans_by_hand(text, kind):
     pattern, least = {**secrets.BASE, **secrets.WIDER}[kind]
     group = 2 if kind in ("assign", "bearer") else 1
