@@ -1,8 +1,8 @@
 """Quality rules with verdicts on hosts, with column functions only.
 
-Each document is measured and held against rules. Failures are counted by host, and a
-host's rate of failing is shrunk towards the rate of all hosts by a beta prior that
-the hosts themselves give. Documents fail by themselves or with their host.
+Each document is measured and held against rules. Failures of each rule, and of any
+rule, are counted by host, and a host's rates of failing are shrunk towards those of all
+hosts by beta priors that the hosts themselves give. Documents fail by themselves or with their host.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8  # words
 MIN_WORDS = 20
 RULES = ("short", "repeats", "symbols", "repeated_lines")
+ANY = "any_rule"
 HOST_RATE = 0.8
 
 
@@ -106,10 +107,11 @@ def judge_documents(
     docs: DataFrame, carry: list[str] | None = None, text: str = "text", host: str = "source", host_rate: float = HOST_RATE
 ) -> DataFrame:
     """`row` (the columns `carry`, by default all) with the base counts, the rules failed,
-    `base_failed`, `host_failed`, the host's highest shrunken rate `host_rate`, and `kept`.
+    `base_failed`, `host_failed`, the host's highest shrunken rate `host_rate`, and `kept`. The
+    rates are those of failing each rule and of failing any of them.
 
     A document fails by itself when it is short or repeats itself; it fails with its host
-    when the host's shrunken rate of failing any rule is over `host_rate`. A null or empty
+    when the host's highest rate is over `host_rate`, also when its failures are of several rules. A null or empty
     text has no words and fails as short. Null is a host of its own. Repeated rows count
     each. An empty table stays empty. The measured rows are written once, without
     texts unless carried, and hosts are counted from there; a host may hold any share of
@@ -123,11 +125,12 @@ def judge_documents(
     counted = spread.select("row", "host", *[c.alias(name) for name, c in measures(F.col("_text")).items()])
     measured = written(counted.withColumns(rules()), "quality-measured")
     hosts = measured.groupBy("host").agg(
-        F.count("*").alias("n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES]
+        F.count("*").alias("n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES],
+        F.sum(F.greatest(*RULES).cast("long")).alias(ANY),
     )
     hosts = written(hosts, "quality-hosts")
     rates = []
-    for rule in RULES:
+    for rule in (*RULES, ANY):
         a, b = beta_prior(hosts, rule)
         rates.append((F.col(rule) + F.lit(a)) / (F.col("n") + F.lit(a + b)))
     verdicts = hosts.select(F.col("host").alias("_host"), F.greatest(*rates).alias("host_rate"))

@@ -174,6 +174,20 @@ def test_bad_hosts_fall_and_small_ones_are_shrunk(spark):
     assert rate["bad"] > 0.9 and 0.3 < rate["tiny"] < 0.6 and rate["good"] < 0.05
 
 
+def test_hosts_fall_by_failures_of_several_rules(spark):
+    symbols = lambda i: prose(i, 40) + " " + "#" * 10
+    repeated = lambda i: f"{prose(i, 30)}\n" + "\n".join(["same here"] * 9)
+    bad = [symbols, symbols, repeated, repeated, lambda i: "too short"]  # 40, 40 and 20 %
+    rows = [(i, prose(i, 60), "good" if i % 2 else "fine") for i in range(120)]
+    rows += [(200 + i, bad[i % 5](i) if i < 98 else prose(i, 60), "mixed") for i in range(100)]
+    rows += [(400 + i, symbols(i) if i % 2 else prose(i, 60), "half") for i in range(100)]
+    got = host_quality.judge_documents(table(spark, rows)).collect()
+    assert {r["row"]["source"] for r in got if r["host_failed"]} == {"mixed"}
+    assert {r["row"]["doc_id"] for r in got if r["kept"]} == {*range(120), *range(400, 500)}
+    most = max(sum(bool(r[k]) for r in got if r["row"]["source"] == "mixed") for k in host_quality.RULES)
+    assert most <= 50  # of 100: no single rule is enough
+
+
 def test_prior_of_hosts_without_spread(spark):
     hosts = spark.createDataFrame([("a", 10, 0), ("b", 30, 0)], "host string, n bigint, short bigint")
     assert host_quality.beta_prior(hosts, "short") == (0.0, 40.0)
