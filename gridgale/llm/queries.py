@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridgale.llm import fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity
+from gridgale.llm import (
+    alignment, fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity,
+)
 from gridgale.llm.common import documents, ranked, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +107,11 @@ def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
         secrets.joined(F.concat("base", "added")).alias("spans"), "n_credentials",
     )
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(documents(spark, sf_dir), carry=["doc_id"])
+    return aligned.select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
