@@ -228,3 +228,33 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE
 FROM documents d LEFT JOIN based b ON b.doc_id = d.doc_id LEFT JOIN spanned s ON s.doc_id = d.doc_id
 LEFT JOIN lives l ON l.doc_id = d.doc_id
 """
+
+ORACLES["op12_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+spelled AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k AS words, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM spelled, range(1, 6) t(k) WHERE len(w) >= k),
+counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE words = 1 GROUP BY lang),
+candidates AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words >= 2 AND f >= 100),
+cuts AS (
+  SELECT lang, words, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates, range(1, 5) t(k) WHERE k < words),
+scored AS (
+  SELECT c.lang, c.words, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n,
+         CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS f
+  FROM candidates, range(2, 5) t(s), range(1, 5) u(i) WHERE s < words AND i + s - 1 <= words GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE i.f IS NULL OR 100 * i.f < 100 * a
+QUALIFY rank <= 2000
+"""

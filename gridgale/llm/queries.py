@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridgale.llm import (
-    alignment, fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity,
+    alignment, collocations, fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity,
 )
 from gridgale.llm.common import documents, ranked, written
 
@@ -109,6 +109,11 @@ def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 @query
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = alignment.align_documents(documents(spark, sf_dir), carry=["doc_id"])
