@@ -258,3 +258,22 @@ FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.phrase = b.phrase
 WHERE i.f IS NULL OR 100 * i.f < 100 * a
 QUALIFY rank <= 2000
 """
+
+ORACLES["op11_cover_tree"] = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+walk AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION
+  SELECT b, root FROM walk JOIN links ON a = node),
+roots AS (SELECT node, min(root) AS component_id FROM walk GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""

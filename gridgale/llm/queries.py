@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridgale.llm import (
-    alignment, collocations, fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity,
+    alignment, collocations, cover_tree, fingerprints, hash_tree, host_quality, licenses, line_dedup, mixing, near_dedup, packing, secrets, toxicity,
 )
 from gridgale.llm.common import documents, ranked, written
 
@@ -109,6 +109,12 @@ def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = cover_tree.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), carry=["vec_id"])
+    return linked.select("row.vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))

@@ -25,7 +25,7 @@ def test_text_query_equals_sql(spark, name):
 
 
 def test_ten_operators_and_the_pipeline():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [*range(1, 11), 12, 13]
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "packing"]
 
 
