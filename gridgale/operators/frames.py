@@ -56,6 +56,20 @@ def to_cells(df: DataFrame, spec: GridSpec, values: dict[str, Column], time_colu
     )
 
 
+def frame_values(df: DataFrame, spec: GridSpec, value: Column, time_column: str = "time") -> DataFrame:
+    """(`time`, `cells`, `values`): the raster positions with a value, and the values; one row a frame.
+
+    Copies of a cell fold to the smallest value. Rows are shuffled by time once. A frame without values has
+    empty arrays.
+    """
+    iy, ix = spec.iy(F.col("latitude")), spec.ix(F.col("longitude"))
+    known = F.when(iy.between(0, spec.ny - 1) & ix.between(0, spec.nx - 1) & ~F.isnan(value), value).cast("double")
+    placed = df.select(F.col(time_column).alias("time"), spec.raster(iy, ix).alias("cell"), known.alias("v"))
+    folded = placed.repartition("time").groupBy("time", "cell").agg(F.min("v").alias("v"))
+    listed = folded.groupBy("time").agg(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("cell", "v"))).alias("_c"))
+    return listed.select("time", F.col("_c.cell").alias("cells"), F.col("_c.v").alias("values"))
+
+
 BITS = 64
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridgale.functions import physics
@@ -12,7 +10,8 @@ from gridgale.functions.keys import mask_text
 from gridgale.grid import GridSpec
 from gridgale.operators import regions as rg
 from gridgale.operators.components import label_cells
-from gridgale.operators.frames import missing_cells, to_cells, wrap_globe
+from gridgale.operators.flood import FOUND, level_search
+from gridgale.operators.frames import frame_values, missing_cells, to_cells, wrap_globe
 from gridgale.operators.smoothing import smooth
 from gridgale.operators.windows import name_storms
 from gridgale.session import cut_lineage
@@ -164,56 +163,12 @@ def detect_levels(
     """Search level by level; the interiors of storms found are taken out for later levels.
 
     Always for low pressure, without smoothing. Levels depend on each other, frames do
-    not: each level is one pass over all frames. Returns the storms, numbered within
-    their frame by `idx`, and the cells (`time`, `iy`, `ix`) taken out.
-
-    Levels at or below the lowest value have no region. Above the highest value the
-    mask is all that is left, whatever the level, and a second search of it finds
-    nothing new: of these levels only the first one searched is kept.
+    not: a frame goes through all levels in one flood of its cells, so the table is read and
+    shuffled once, however many levels there are. Returns the storms, numbered within
+    their frame by `idx` in the order they were found, and the cells (`time`, `iy`, `ix`) taken out.
     """
-    params = replace(params, cyc="cyclonic", globe=False)
-    base = cut_lineage(to_cells(df, spec, {"msl": F.col("msl")}))
-    span = base.agg(F.min("msl").alias("low"), F.max("msl").alias("high")).first()
-    ordered = sorted(levels, reverse=topdown)
-    useful = [x for x in ordered if span["low"] is not None and x > span["low"]]
-    above = [x for x in useful if x > span["high"]]
-    useful = [x for x in useful if x not in above[1:]]
-
-    found, taken = [], None
-    for rank, level in enumerate(useful):
-        at_level = replace(params, level=float(level))
-        low = base.where(F.col("msl") < F.lit(float(level)))
-        left = low if taken is None else low.join(taken, ["time", "iy", "ix"], "left_anti")
-        cells = label_cells(rg.masked_cells(left, spec, "msl", at_level), spec, rg.FRAME_FACTS)
-        good = rg.place(rg.accept(rg.measure_regions(cells, spec, at_level), spec, at_level), spec, at_level)
-        step = cut_lineage(
-            good.select(
-                "time", "label", F.lit(float(level)).alias("level"), F.lit(rank).alias("_rank"),
-                "lon", "lat", "amp_abs", "area_km2", "n_cells", "extent_km", "interior_cells",
-            )
-        )
-        found.append(step)
-        cut = step.select("time", F.explode("interior_cells").alias("_c")).select(
-            "time",
-            F.floor(F.col("_c") / F.lit(spec.nx)).cast("int").alias("iy"),
-            (F.col("_c") % F.lit(spec.nx)).alias("ix"),
-        )
-        taken = cut if taken is None else taken.unionByName(cut)
-    if not found:
-        empty = base.where(F.lit(False))
-        no = F.lit(None)
-        return (
-            empty.select(
-                "time", no.cast("int").alias("label"), no.cast("double").alias("level"),
-                *[no.cast("double").alias(c) for c in ("lon", "lat", "amp_abs", "area_km2")],
-                no.cast("long").alias("n_cells"), no.cast("double").alias("extent_km"),
-                no.cast("int").alias("idx"),
-            ),
-            empty.select("time", "iy", "ix"),
-        )
-    storms = found[0]
-    for step in found[1:]:
-        storms = storms.unionByName(step)
-    order = Window.partitionBy("time").orderBy("_rank", "label")
-    numbered = storms.withColumn("idx", F.row_number().over(order) - 1)
-    return numbered.drop("_rank", "interior_cells"), taken
+    known = frame_values(df, spec, F.col("msl"))
+    found = known.mapInArrow(level_search(spec, params, [float(x) for x in levels], topdown), FOUND)
+    cut = found.select("time", F.explode("interior_cells").alias("_c"))
+    taken = cut.select("time", F.floor(F.col("_c") / F.lit(spec.nx)).cast("int").alias("iy"), (F.col("_c") % F.lit(spec.nx)).alias("ix"))
+    return found.drop("interior_cells"), taken

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from conftest import plan_of
 from gridgale.grid import GridSpec
-from gridgale.operators import components, frames, regions, storms
+from gridgale.operators import components, flood, frames, regions, storms
 from gridgale.operators.regions import DetectParams
 from gridgale.operators.smoothing import gaussian_kernel, reflect, smooth
 
@@ -258,6 +259,47 @@ def test_levels_equal_brute_force(spark, topdown, d):
     assert got == want and out == gone and sum(map(len, want.values())) > 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_levels_of_rough_frames_with_gaps(spark, monkeypatch, seed):
+    """Many storms inside each other's remains; frames flooded one by one and together."""
+    spec = GridSpec(22, 19, 24.0, 102.0)
+    rng = np.random.default_rng(seed)
+    stack = np.round(field(seed, 4, 22, 19, scale=3000.0), -2)  # ties
+    stack[rng.random(stack.shape) < 0.03] = np.nan
+    stack[3] = np.nan
+    params = DetectParams(require_internal_extremum=True, npix_min=5, rel_amp_thresh=20.0, d_thresh=400.0)
+    monkeypatch.setattr(flood, "BATCH_CELLS", (1 << 19) if seed % 2 else 1)
+    for topdown in (True, False):
+        found, taken = storms.detect_levels(table(spark, spec, stack), spec, params, range(96000, 104000, 200), topdown=topdown)
+        got = [[], [], [], []]
+        for r in found.orderBy("time", "idx").collect():
+            got[int((r["time"] - START).total_seconds() // 3600)].append((r["level"], r["label"], round(r["amp_abs"], 6), r["n_cells"]))
+        want = [brute.levels(f, spec, sorted(range(96000, 104000, 200), reverse=topdown), 5, 6000, 20.0, 400.0)[0] for f in stack]
+        assert got == [[(float(a), *rest) for a, *rest in w] for w in want] and sum(map(len, got)) > 2
+
+
+def test_levels_read_and_shuffle_once_and_start_no_job(spark):
+    spec = GridSpec(14, 16, 24.0, 102.0)
+    df = table(spark, spec, field(11, 3, 14, 16))
+    spark.sparkContext.setJobGroup("levels", "levels")
+    found, taken = storms.detect_levels(df, spec)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("levels") == ()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for out in (found, taken):
+        plan = plan_of(out)
+        assert plan.count("Exchange") == 1 and plan.count("Scan") == 1, plan
+
+
+@pytest.mark.parametrize("nx,res", [(18, 20.0), (73, 5.0), (40, 6.0), (30, 0.25), (360, 1.0)])
+def test_ring_extent_equals_all_pairs(nx, res):
+    spec = GridSpec(19, nx, 90.0, 0.0, res_lat=10.0, res_lon=res)
+    rng = np.random.default_rng(nx)
+    for n in (1, 2, 5, 40):
+        iy, ix = rng.integers(0, 19, n), rng.integers(0, nx, n)
+        want = brute.extent(list(zip(iy.tolist(), ix.tolist())), spec)
+        assert flood.rings_apart_km(iy, ix, spec) == pytest.approx(want, abs=1e-3)
+
+
 def test_globe_wrap(spark):
     spec = GridSpec(1, 18, 10.0, 0.0, res_lon=20.0)
     df = table(spark, spec, np.arange(18.0)[None, None, :])
