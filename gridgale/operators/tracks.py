@@ -1,17 +1,11 @@
 """Storm tracks: detections linked through time, oldest track first.
 
 At every step the live tracks choose in the order they began: each takes the nearest
-detection still free within its reach, and a track that finds none has ended. The rule
-looks sequential, but a choice only matters where tracks compete:
-
-* a detection with one possible predecessor, which has no other possible successor,
-  is linked whatever the order (most links of a sparse field);
-* chains of such links shrink to their ends, and only the contested links between
-  chains remain;
-* contested links are settled in short runs of steps, all runs in parallel, from
-  assumed track ages; the links settled give better ages, and so on until nothing
-  changes. Ages only depend on earlier steps, so every round settles at least one more
-  run for good, and the end state is the sequential result.
+detection still free within its reach, and a track that finds none has ended. The rule is
+sequential, but not for the whole record: at a step that no link leads to, no track is
+alive. Such steps cut the record into segments, and a segment is one pass over its links in
+order of time, which keeps nothing but the tracks alive. So the plan has no loop, however
+many tracks compete.
 
 A node is a detection; node numbers sort by (step, idx), so the number of a track's
 first node is also its rank.
@@ -19,11 +13,14 @@ first node is also its rank.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridgale.functions.geo import distance_km
-from gridgale.operators.components import components
 from gridgale.operators.links import PROP_SPEED, candidate_links, step_of
 from gridgale.operators.windows import running_total, with_month
 from gridgale.session import cut_lineage
@@ -32,117 +29,79 @@ from gridgale.session import cut_lineage
 DUR_MIN = 72.0
 D_TOT_MIN = 1000.0
 D_RATIO = 0.6
-# Steps settled in one go; bounds what a task holds, and saves rounds.
-RUN = 128
-
-
-def _heads(links: DataFrame) -> DataFrame:
-    """(`node`, `head`) for links that form chains; the first node is the smallest."""
-    edges = links.select(F.col("u").alias("a"), F.col("v").alias("b"))
-    return components(edges, []).select("node", F.col("root").alias("head"))
-
-
-def _greedy(edges: Column) -> Column:
-    """Links taken from one step's edges (`rank`, `km`, `v`, `u`), sorted: an edge is taken
-    if neither of its ends is taken yet."""
-    nothing = F.array().cast("array<struct<u:bigint,v:bigint,rank:bigint>>")
+# Steps in a row whose ends are looked for together.
+RUN = 1024
 
-    def free(taken: Column, e: Column) -> Column:
-        return ~F.exists(taken, lambda t: (t["u"] == e["u"]) | (t["v"] == e["v"]))
 
-    def take(taken: Column, e: Column) -> Column:
-        link = F.struct(e["u"].alias("u"), e["v"].alias("v"), e["rank"].alias("rank"))
-        return F.when(free(taken, e), F.array_append(taken, link)).otherwise(taken)
+def segments(links: DataFrame) -> DataFrame:
+    """(`step`, `segment`) for the steps that links lead to; a segment is a row of such steps without a gap.
 
-    return F.aggregate(edges, nothing, take)
-
-
-def _step_by_step(steps: Column) -> Column:
-    """Links of a run of steps, each an array of edges (`u`, `v`, `km`, `tail_of`, `rank`).
-
-    A chain that is joined to a track takes over its rank for the steps that follow;
-    other chains have the rank they came with.
+    Steps are first put in a row inside runs of `RUN` steps; one row for each of those goes on.
     """
-    start = F.struct(
-        F.create_map().cast("map<bigint,bigint>").alias("ranks"),
-        F.array().cast("array<struct<u:bigint,v:bigint,rank:bigint>>").alias("taken"),
-    )
-
-    def go(state: Column, step: Column) -> Column:
-        ranked = F.transform(
-            step["edges"],
-            lambda e: F.struct(
-                F.coalesce(F.try_element_at(state["ranks"], e["tail_of"]), e["rank"]).alias("rank"),
-                e["km"].alias("km"),
-                e["v"].alias("v"),
-                e["u"].alias("u"),
-            ),
-        )
-        # The links of the step are put last in the list, so that they are computed once.
-        return F.struct(state["ranks"].alias("ranks"), F.concat(state["taken"], _greedy(F.sort_array(ranked))).alias("taken"))
-
-    def inherit(state: Column) -> Column:
-        ranks = F.map_from_entries(F.transform(state["taken"], lambda t: F.struct(t["v"], t["rank"])))
-        return F.struct(ranks.alias("ranks"), state["taken"].alias("taken"))
-
-    return F.aggregate(steps, start, lambda state, step: inherit(go(state, step)), lambda state: state["taken"])
-
-
-def _settle(contested: DataFrame, ages: DataFrame) -> DataFrame:
-    """Links (`u`, `v`, `tail_of`) chosen when chains have the given `ages` (`chain`, `rank`).
-
-    Steps are settled in runs of `RUN` in order; runs are independent of each other.
+    run = F.call_function("div", F.col("step"), F.lit(RUN)).alias("run")
+    steps = links.select(step_of(F.col("v")).alias("step")).distinct().select("step", run)
+    inside = Window.partitionBy("run").orderBy("step")
+    marked = steps.withColumn("_begins", F.coalesce(F.col("step") - F.lag("step").over(inside) > 1, F.lit(True)))
+    # The first of a run goes on with the run before, if that ends just before it.
+    lasts = steps.groupBy((F.col("run") + 1).alias("run")).agg(F.max("step").alias("_last"))
+    firsts = F.row_number().over(inside) == 1
+    joined = marked.withColumn("_first", firsts).join(lasts, "run", "left")
+    goes_on = F.col("_first") & F.coalesce(F.col("_last") == F.col("step") - 1, F.lit(False))
+    begun = joined.withColumn("_number", F.when(F.col("_begins") & ~goes_on, F.lit(1)).otherwise(F.lit(0)))
+    return running_total(begun, "_number", "segment", ["step"], "run").select("step", "segment")
+
+
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(`node`, `track`) of the links that are taken, from links in order of segment and step.
+
+    Of a step all links are needed, of the steps before it only the tracks that go on.
     """
-    ranked = contested.join(ages, contested["tail_of"] == ages["chain"], "left").select(
-        "u", "v", "km", "tail_of", F.coalesce("rank", "tail_of").alias("rank")
-    )
-    by_step = ranked.groupBy(step_of(F.col("v")).alias("step")).agg(
-        F.collect_list(F.struct("u", "v", "km", "tail_of", "rank")).alias("edges")
-    )
-    by_run = by_step.groupBy(F.floor(F.col("step") / RUN)).agg(
-        F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("_steps")
-    )
-    taken = by_run.select(F.explode(_step_by_step(F.col("_steps"))).alias("_t")).select("_t.u", "_t.v")
-    return taken.join(contested.select("u", "v", "tail_of"), ["u", "v"])
+    live: dict[int, int] = {}  # the last node of each live track: its first
+    held: list[pa.RecordBatch] = []
+    at = None
+
+    def taken(u: list[int], v: list[int], km: list[float]) -> dict[int, int]:
+        """{node: track} after one step."""
+        going, used = {}, set()
+        for track, _, node, last in sorted(zip((live.get(n, n) for n in u), km, v, u)):
+            if last not in used and node not in going:
+                used.add(last)
+                going[node] = track
+        return going
+
+    def step() -> pa.RecordBatch | None:
+        nonlocal live
+        table = pa.Table.from_batches(held)
+        live = taken(*(table[c].to_pylist() for c in ("u", "v", "km")))
+        columns = [pa.array(list(x), pa.int64()) for x in (live.keys(), live.values())]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "track"])
+
+    for batch in batches:
+        steps = batch["step"].to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(steps)) + 1, [len(steps)]])
+        out = []
+        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if x == y:
+                continue
+            now = int(steps[x])
+            if held and now != at:
+                out.append(step())
+                held.clear()
+                if now != at + 1:
+                    live = {}
+            at = now
+            held.append(batch.slice(x, y - x))
+        if out:
+            yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+    if held:
+        yield step()
 
 
 def resolve(links: DataFrame) -> DataFrame:
-    """(`node`, `track`): the first node of the track each linked detection belongs to."""
-    ends = {
-        "_out": F.count(F.lit(1)).over(Window.partitionBy("u")),
-        "_in": F.count(F.lit(1)).over(Window.partitionBy("v")),
-    }
-    counted = cut_lineage(links.withColumns(ends))
-    sure = (F.col("_out") == 1) & (F.col("_in") == 1)
-    forced = counted.where(sure).select("u", "v")
-    chains = cut_lineage(_heads(forced))
-    contested = (
-        counted.where(~sure)
-        .join(chains.withColumnRenamed("node", "u"), "u", "left")
-        .select("u", "v", "km", F.coalesce("head", "u").alias("tail_of"))
-    )
-    contested = cut_lineage(contested)
-    if contested.isEmpty():
-        return chains.select("node", F.col("head").alias("track"))
-
-    ages = contested.select(F.col("tail_of").alias("chain"), F.col("tail_of").alias("rank")).distinct()
-    chosen = cut_lineage(_settle(contested, ages))
-    while True:
-        joined = chosen.select(F.col("tail_of").alias("u"), "v")
-        ages = _heads(joined).select(F.col("node").alias("chain"), F.col("head").alias("rank"))
-        again = cut_lineage(_settle(contested, ages))
-        if again.select("u", "v").exceptAll(chosen.select("u", "v")).isEmpty():
-            break
-        chosen = again
-    # A chain is its own track unless it continues another one.
-    continued = ages.select(F.col("chain").alias("head"), F.col("rank").alias("track"))
-    members = chains.unionByName(
-        chosen.select(F.col("u").alias("node"), F.col("tail_of").alias("head"))
-        .unionByName(chosen.select(F.col("v").alias("node"), F.col("v").alias("head")))
-        .join(chains, "node", "left_anti")
-        .distinct()
-    )
-    return members.join(continued, "head", "left").select("node", F.coalesce("track", "head").alias("track"))
+    """(`node`, `track`): the first node of the track, for each detection that continues one."""
+    stepped = links.select("u", "v", "km", step_of(F.col("v")).alias("step")).join(segments(links), "step")
+    ordered = stepped.repartition("segment").sortWithinPartitions("segment", "step")
+    return ordered.select("step", "u", "v", "km").mapInArrow(_follow, "node bigint, track bigint")
 
 
 def track(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) -> DataFrame:
@@ -152,19 +111,18 @@ def track(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) ->
     `exist_at_start` marks tracks that began at the first step.
     """
     found = cut_lineage(found)
-    tracks = resolve(candidate_links(found, dt, prop_speed))
+    tracks = cut_lineage(resolve(cut_lineage(candidate_links(found, dt, prop_speed))))
     followed = found.join(tracks, "node", "left").withColumn("track", F.coalesce("track", "node"))
     first_step = found.agg(F.min("step")).scalar()
     begins = with_month(followed.where(F.col("track") == F.col("node")).select("track", "time", F.lit(1).alias("_one")))
     numbers = running_total(begins, "_one", "_number", ["track"]).select("track", (F.col("_number") - 1).alias("track_id"))
     start = step_of(F.col("track"))
-    points = followed.join(numbers, "track").select(
+    return followed.join(numbers, "track").select(
         "track_id",
         (F.col("step") - start).alias("seq"),
         *found.columns,
         (start == first_step).alias("exist_at_start"),
     )
-    return cut_lineage(points)
 
 
 def track_summary(points: DataFrame) -> DataFrame:
@@ -208,5 +166,6 @@ def lasting_tracks(
 
 def strip(points: DataFrame, **limits: float) -> DataFrame:
     """Points of the tracks that `lasting_tracks` keeps."""
+    points = cut_lineage(points)
     kept = lasting_tracks(track_summary(points), **limits).select("track_id")
     return points.join(kept, "track_id", "left_semi")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridgale.functions.times import from_epoch_ns, to_epoch_ns
 from gridgale.grid import GridSpec
+from gridgale.operators.links import detections
 from gridgale.operators.merge import dashboard_table, merge_weather
 
 SPEC = GridSpec(ny=20, nx=15, north=24.0, west=102.0)
@@ -49,6 +50,17 @@ def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid(spark, sf_dir, hours_per_frame=18)
 
 
+def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections of a whole year in a square of 1.5 degrees: an order each, dealt over the hours."""
+    key = F.col("o_orderkey")
+    hours = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.timestamp_add("HOUR", (key % 8760).cast("int"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")).alias("time"),
+        key.alias("label"), (F.lit(105.0) + (key * 7919) % 1500 / 1000.0).alias("lon"),
+        (F.lit(15.0) + (key * 104729) % 1500 / 1000.0).alias("lat"), F.lit(1.0).alias("amp_abs"), F.lit(1.0).alias("area_km2"),
+    )
+    return detections(hours)
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw weather form: epoch nanoseconds, all 17 columns, measures as doubles."""
     g = grid(spark, sf_dir)

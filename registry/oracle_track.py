@@ -12,8 +12,8 @@ KM = """6371.0E0*acos(least(1.0E0, sin(radians(l.lat))*sin(radians(d.lat))
 # A row of `run` is the state within a step: `live` tracks of the step before, the first `pos`
 # of which have chosen; `free` detections; `picked` continuations. With all chosen, what is
 # still free begins new tracks and the next step starts.
-_TRACKED = chain(*GOOD) + f""",
-found AS MATERIALIZED (SELECT *, date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', time) AS step FROM ({FOUND})),
+_TRACKED = f"""
+found AS MATERIALIZED (SELECT *, date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', time) AS step FROM (detections)),
 steps AS (SELECT unnest(range(min(step), max(step) + 1)) AS step FROM found),
 dets AS MATERIALIZED (SELECT s.step,
     coalesce(list({{'idx': f.idx, 'lon': f.lon, 'lat': f.lat}} ORDER BY f.idx) FILTER (f.idx IS NOT NULL), []) AS ds
@@ -45,8 +45,13 @@ tracks AS MATERIALIZED (SELECT p.track AS track_id, step, step - min(step) OVER
   FROM points)
 """
 
-def tracked(reach_km: float) -> str:
-    return _TRACKED.replace("reach_km", repr(reach_km))
+def tracked(reach_km: float, begin: str = chain(*GOOD) + ",", detections: str = FOUND) -> str:
+    return begin + _TRACKED.replace("reach_km", repr(reach_km)).replace("detections", detections)
+
+
+CROWD = """SELECT *, row_number() OVER (PARTITION BY time ORDER BY k) - 1 AS idx FROM (
+ SELECT o_orderkey AS k, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(o_orderkey % 8760 AS INTEGER)) AS time,
+  105.0E0 + ((o_orderkey*7919) % 1500)/1000.0E0 AS lon, 15.0E0 + ((o_orderkey*104729) % 1500)/1000.0E0 AS lat FROM orders)"""
 
 
 POINTS = "SELECT track_id, seq, time, idx, lon, lat, 'cyclonic' AS type, exist_at_start FROM tracks"
@@ -54,5 +59,6 @@ POINTS = "SELECT track_id, seq, time, idx, lon, lat, 'cyclonic' AS type, exist_a
 ORACLES = {
     "trk2_initial_tracks": tracked(80.0) + "SELECT track_id, time, lon, lat, exist_at_start FROM tracks WHERE seq = 0",
     "trk3_tracks": tracked(80.0) + POINTS,
+    "trk3_crowded_year": tracked(80.0, "WITH RECURSIVE ", CROWD) + POINTS,
     "trk3_tracks_far_reach": tracked(400.0) + POINTS,
 }

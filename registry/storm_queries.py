@@ -269,6 +269,13 @@ def trk3_tracks_far_reach(spark: SparkSession, sf: str) -> DataFrame:
     return longs(points.select("track_id", "seq", "time", "idx", "lon", "lat", "type", "exist_at_start"), "track_id", "idx")
 
 
+@query
+def trk3_crowded_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A year without a quiet hour, in an area so small that most choices are contested at the usual speed."""
+    points = tracks.track(fx.crowd(spark, sf))
+    return longs(points.select("track_id", "seq", "time", "idx", "lon", "lat", "type", "exist_at_start"), "track_id", "idx")
+
+
 @query
 def trk4_lasting_tracks(spark: SparkSession, sf: str) -> DataFrame:
     kept = tracks.lasting_tracks(tracks.track_summary(id_tracks(spark, sf)), d_tot_min=150.0, d_ratio=0.3, dur_min=2.0)

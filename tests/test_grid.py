@@ -283,7 +283,7 @@ def test_levels_read_and_shuffle_once_and_start_no_job(spark):
     df = table(spark, spec, field(11, 3, 14, 16))
     spark.sparkContext.setJobGroup("levels", "levels")
     found, taken = storms.detect_levels(df, spec)
-    assert spark.sparkContext.statusTracker().getJobIdsForGroup("levels") == ()
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("levels"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     for out in (found, taken):
         plan = plan_of(out)

@@ -48,6 +48,32 @@ def test_tracks_equal_the_sequential_rule(spark, frames):
     assert got == brute.tracks(frames, 80.0)
 
 
+def test_steps_may_span_batches_and_runs(spark, monkeypatch):
+    """Arrow batches of a few links, runs of a few steps, and steps that end all tracks."""
+    monkeypatch.setattr(tracks, "RUN", 4)
+    frames = crowd(5, 60, 7, 2.0, fewest=3)
+    for t in (9, 10, 30, 44):
+        frames[t] = []
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rows = tracks.track(detections(spark, frames)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(int((r["time"] - START).total_seconds() // 3600), r["idx"]): r["track_id"] for r in rows} == brute.tracks(frames, 80.0)
+
+
+def test_contests_cost_no_jobs(spark):
+    """As many jobs for tracks that compete at every step as for one that is alone."""
+    counts = []
+    for name, frames in (("alone", [[(105.0 + 0.1 * t, 15.0)] for t in range(20)]), ("crowd", crowd(2, 30, 14, 3.0, fewest=8))):
+        found = detections(spark, frames)
+        spark.sparkContext.setJobGroup(name, name)
+        tracks.track(found)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+    assert counts[0] == counts[1]
+
+
 def test_links_find_all_pairs_across_the_date_line(spark):
     frames = [[(179.9, 0.0), (0.1, 0.0)], [(-179.9, 0.1), (359.95, 0.0), (10.0, 0.0)]]
     found = links.candidate_links(detections(spark, frames))
