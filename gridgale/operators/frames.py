@@ -8,6 +8,7 @@ windows, which all start with `time`, stay in place.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +35,7 @@ def to_cells(df: DataFrame, spec: GridSpec, values: dict[str, Column], time_colu
     """
     names = list(values)
     known = [F.when(~F.isnan(v), v).cast("double").alias(n) for n, v in values.items()]
-    iy, ix = spec.iy(F.col("latitude")), spec.ix(F.col("longitude"))
-    inside = iy.between(0, spec.ny - 1) & ix.between(0, spec.nx - 1)
-    placed = df.select(F.col(time_column).alias("time"), F.when(inside, spec.raster(iy, ix)).cast("int").alias("cell"), *known)
-    # Unknown values come after all known ones.
-    ranks = [x.alias(n) for v in names for x, n in ((F.col(v).isNull(), f"_{v}"), (F.col(v), v))]
-    folded = placed.repartition("time").groupBy("time", "cell").agg(F.min(F.struct(*ranks)).alias("_v"))
+    folded = _fold(df, spec, known, names, time_column)
     listed = folded.groupBy("time").agg(
         F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("cell", *[F.col("_v")[n].alias(n) for n in names]))).alias("_have")
     )
@@ -56,18 +52,28 @@ def to_cells(df: DataFrame, spec: GridSpec, values: dict[str, Column], time_colu
     )
 
 
-def frame_values(df: DataFrame, spec: GridSpec, value: Column, time_column: str = "time") -> DataFrame:
-    """(`time`, `cells`, `values`): the raster positions with a value, and the values; one row a frame.
+def frame_values(df: DataFrame, spec: GridSpec, values: dict[str, Column], time_column: str = "time") -> DataFrame:
+    """(`time`, `cells`, and an array for each of `values`): one row a frame, with the raster positions it has.
 
-    Copies of a cell fold to the smallest value. Rows are shuffled by time once. A frame without values has
-    empty arrays.
+    Rows are shuffled by time once. Copies of a cell fold to one whole row as in `to_cells`. A frame whose rows
+    all lie off the grid has empty arrays.
     """
+    names = list(values)
+    known = [F.when(~F.isnan(v), v).cast("double").alias(n) for n, v in values.items()]
+    folded = _fold(df, spec, known, names, time_column)
+    cell = F.when(F.col("cell").isNotNull(), F.struct("cell", *[F.col("_v")[n].alias(n) for n in names]))
+    listed = folded.groupBy("time").agg(F.collect_list(cell).alias("_c"))
+    return listed.select("time", F.col("_c.cell").alias("cells"), *[F.col("_c")[n].alias(n) for n in names])
+
+
+def _fold(df: DataFrame, spec: GridSpec, known: list[Column], names: list[str], time_column: str) -> DataFrame:
+    """(`time`, `cell`, `_v`): each cell's row with the smallest known values; `cell` is null off the grid."""
     iy, ix = spec.iy(F.col("latitude")), spec.ix(F.col("longitude"))
-    known = F.when(iy.between(0, spec.ny - 1) & ix.between(0, spec.nx - 1) & ~F.isnan(value), value).cast("double")
-    placed = df.select(F.col(time_column).alias("time"), spec.raster(iy, ix).alias("cell"), known.alias("v"))
-    folded = placed.repartition("time").groupBy("time", "cell").agg(F.min("v").alias("v"))
-    listed = folded.groupBy("time").agg(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("cell", "v"))).alias("_c"))
-    return listed.select("time", F.col("_c.cell").alias("cells"), F.col("_c.v").alias("values"))
+    inside = iy.between(0, spec.ny - 1) & ix.between(0, spec.nx - 1)
+    placed = df.select(F.col(time_column).alias("time"), F.when(inside, spec.raster(iy, ix)).cast("int").alias("cell"), *known)
+    # Unknown values come after all known ones.
+    ranks = [x.alias(n) for v in names for x, n in ((F.col(v).isNull(), f"_{v}"), (F.col(v), v))]
+    return placed.repartition("time").groupBy("time", "cell").agg(F.min(F.struct(*ranks)).alias("_v"))
 
 
 BITS = 64
@@ -145,15 +151,26 @@ def point_series(df: DataFrame, spec: GridSpec, latitude: float, longitude: floa
     return df.where(near & at).select("time", value).orderBy("time")
 
 
+def _edges_of_globe(spec: GridSpec, degrees: float) -> tuple[int, int]:
+    """The first column that is repeated in the west, and how many are repeated in the east."""
+    longitudes = [spec.west + spec.res_lon * i for i in range(spec.nx)]
+    first_east = min(i for i, lon in enumerate(longitudes) if lon >= 360.0 - degrees)
+    return first_east, max(i for i, lon in enumerate(longitudes) if lon <= degrees)
+
+
+def wrapped_spec(spec: GridSpec, degrees: float = 20.0) -> GridSpec:
+    """The wider grid of `wrap_globe`."""
+    first_east, last_west = _edges_of_globe(spec, degrees)
+    return replace(spec, nx=2 * spec.nx - first_east + last_west, west=spec.west + spec.res_lon * first_east - 360.0)
+
+
 def wrap_globe(cells: DataFrame, spec: GridSpec, degrees: float = 20.0) -> tuple[DataFrame, GridSpec]:
     """Repeat the eastern edge in the west and the western edge in the east, with all columns.
 
     Returns the cells and their wider grid. The column just at `degrees` in the west is
     left out, as the piece ends before it.
     """
-    longitudes = [spec.west + spec.res_lon * i for i in range(spec.nx)]
-    first_east = min(i for i, lon in enumerate(longitudes) if lon >= 360.0 - degrees)
-    last_west = max(i for i, lon in enumerate(longitudes) if lon <= degrees)
+    first_east, last_west = _edges_of_globe(spec, degrees)
     shift = spec.nx - first_east
     ix = F.col("ix")
     places = F.array_compact(
@@ -163,14 +180,5 @@ def wrap_globe(cells: DataFrame, spec: GridSpec, degrees: float = 20.0) -> tuple
             F.when(ix < last_west, ix + shift + spec.nx),
         )
     )
-    wide = GridSpec(
-        ny=spec.ny,
-        nx=shift + spec.nx + last_west,
-        north=spec.north,
-        west=longitudes[first_east] - 360.0,
-        res_lat=spec.res_lat,
-        res_lon=spec.res_lon,
-        tile=spec.tile,
-    )
     others = [c for c in cells.columns if c != "ix"]
-    return cells.select(*others, F.explode(places).alias("ix")).select(*cells.columns), wide
+    return cells.select(*others, F.explode(places).alias("ix")).select(*cells.columns), wrapped_spec(spec, degrees)

@@ -19,7 +19,9 @@ class DetectParams:
 
     `center` is `frame_min` (lowest cell of the whole frame), `region_min` or
     `center_of_mass`. `d_thresh` at or above 1 is a limit in km; below 1 it is an
-    eccentricity from which each region's limit follows.
+    eccentricity from which each region's limit follows. `globe` repeats both edges of a grid beyond the
+    other, so that a storm there may be found twice; `seam` joins the first column to the last instead, on a
+    grid that goes once around.
     """
 
     # Default criteria.
@@ -33,6 +35,7 @@ class DetectParams:
     cut_lat: float = 1.0
     globe: bool = False
     globe_degrees: float = 20.0
+    seam: bool = False
     require_internal_extremum: bool = False
     center: str = "frame_min"
 

@@ -10,9 +10,9 @@ from gridgale.functions.keys import mask_text
 from gridgale.grid import GridSpec
 from gridgale.operators import regions as rg
 from gridgale.operators.components import label_cells
-from gridgale.operators.flood import FOUND, level_search
-from gridgale.operators.frames import frame_values, missing_cells, to_cells, wrap_globe
-from gridgale.operators.smoothing import smooth
+from gridgale.operators.flood import FOUND, HOURS, STORMS, level_search, storm_search
+from gridgale.operators.frames import frame_values, missing_cells, to_cells, wrap_globe, wrapped_spec
+from gridgale.operators.smoothing import SIGMA_PART, gaussian_kernel, smooth
 from gridgale.operators.windows import name_storms
 from gridgale.session import cut_lineage
 
@@ -40,8 +40,25 @@ def region_cells(df: DataFrame, spec: GridSpec, params: rg.DetectParams) -> tupl
     return label_cells(rg.masked_cells(cells, spec, "msl", params, wind="wind"), spec, rg.FRAME_FACTS), spec
 
 
+def _searched(df: DataFrame, spec: GridSpec, params: rg.DetectParams, hourly: bool) -> DataFrame:
+    """All frames in one pass: read once, shuffled by time once, smoothed, flooded and measured frame by frame."""
+    values = {"msl": F.col("msl"), "wind": physics.wind_speed(F.col("u10"), F.col("v10"))}
+    along, across = (gaussian_kernel(cut / SIGMA_PART / res) for cut, res in ((params.cut_lon, spec.res_lon), (params.cut_lat, spec.res_lat)))
+    search = storm_search(spec, params, along, across, hourly)
+    return frame_values(df, spec, values).mapInArrow(search, HOURS if hourly else STORMS)
+
+
+def _whole_frames(spec: GridSpec, params: rg.DetectParams) -> bool:
+    """Whether a frame is worked through as a whole; widened globes and frames larger than a tile are cut up."""
+    if params.seam and (params.globe or abs(spec.nx * spec.res_lon - 360.0) > 1e-9):
+        raise ValueError("regions can only be joined over the seam of a grid that goes once around")
+    return spec.one_tile and not params.globe
+
+
 def detect(df: DataFrame, spec: GridSpec, params: rg.DetectParams = rg.DetectParams()) -> DataFrame:
     """One row per storm (`time`, `label`): centre, amplitudes, area, strongest wind."""
+    if _whole_frames(spec, params):
+        return _searched(df, spec, params, hourly=False)
     cells, spec = region_cells(df, spec, params)
     return rg.place(rg.accept(rg.measure_regions(cells, spec, params), spec, params), spec, params)
 
@@ -73,12 +90,15 @@ def missing_positions(df: DataFrame, spec: GridSpec, params: rg.DetectParams = r
 
 
 def _all_ones(storms: DataFrame, missing: DataFrame | None) -> DataFrame:
-    """Positions that are one in a storm's mask: its interior, and cells without data."""
-    if missing is None:
+    """Positions that are one in a storm's mask: its interior, and cells without data, which storms of whole
+    frames bring along."""
+    if missing is not None:
+        storms = storms.drop("missing").join(missing, "time", "left")
+    elif "missing" not in storms.columns:
         return storms.withColumn("_ones", F.col("interior_cells"))
     none = F.array().cast("array<int>")
     both = F.concat("interior_cells", F.coalesce("missing", none))
-    return storms.join(missing, "time", "left").withColumn("_ones", F.array_sort(both)).drop("missing")
+    return storms.withColumn("_ones", F.array_sort(both)).drop("missing")
 
 
 def interior_masks(storms: DataFrame, spec: GridSpec, missing: DataFrame | None = None) -> DataFrame:
@@ -122,37 +142,58 @@ def hourly_storms(
     spec: GridSpec,
     params: rg.DetectParams = rg.DetectParams(),
     threshold: float = 1.5,
-    prefix: str = "2022",
+    prefix: str | None = None,
     emit_quiet_hours: bool = False,
     with_masks: bool = True,
 ) -> DataFrame:
     """The storm table: at most one row per time, with the storm's running id.
 
-    `threshold` is in degrees; 1 is the stricter usual choice. `emit_quiet_hours` adds a
+    `threshold` is in degrees; 1 is the stricter usual choice. Ids are the year in which the storm began and its
+    number in that year, or `prefix` and its number in all. `emit_quiet_hours` adds a
     `-00` row for each time without a storm.
 
-    Frames are worked through once: their few storm rows are written out before ids
-    are given, since naming reads them several times.
+    Frames are worked through once, and give their storms, their missing cells and, being there, quiet hours together;
+    their few rows are written out before ids are given, since naming reads them several times.
     """
-    cells, out_spec = region_cells(df, spec, params)
-    storms = rg.place(rg.accept(rg.measure_regions(cells, out_spec, params), out_spec, params), out_spec, params)
-    hours = one_row_per_frame(storms, out_spec)
-    if not with_masks:
-        hours = hours.drop("_interiors")
-    named = name_storms(cut_lineage(hours), threshold, prefix)
+    hours = cut_lineage(frame_storms(df, spec, params, with_masks, emit_quiet_hours))
+    named = name_hours(hours, threshold, prefix)
     if with_masks:
-        named = named.join(missing_positions(df, spec, params), "time", "left")
+        out_spec = wrapped_spec(spec, params.globe_degrees) if params.globe else spec
         named = named.withColumn("regions_storm", mask_texts("_interiors", "missing", out_spec))
     else:
         named = named.withColumn("regions_storm", F.lit(None).cast("string"))
-    if emit_quiet_hours:
-        quiet = F.lit(f"{prefix}-00")
-        named = df.select("time").distinct().join(named, "time", "left").withColumn("id", F.coalesce("id", quiet))
     return named.select(
         "time", "id", "lon_storm", "lat_storm", "amp_storm", "max_wind_speed", "area_storm", "regions_storm"
     )
 
 
+def frame_storms(
+    df: DataFrame, spec: GridSpec, params: rg.DetectParams, with_masks: bool = True, emit_quiet_hours: bool = False
+) -> DataFrame:
+    """Each frame's first storm, with the interiors of all its storms and its missing cells; without ids."""
+    if _whole_frames(spec, params):
+        hours = _searched(df, spec, params, hourly=True)
+        if not emit_quiet_hours:
+            hours = hours.where(F.col("lon_storm").isNotNull())
+        return hours if with_masks else hours.drop("_interiors", "missing")
+    cells, out_spec = region_cells(df, spec, params)
+    storms = rg.place(rg.accept(rg.measure_regions(cells, out_spec, params), out_spec, params), out_spec, params)
+    hours = one_row_per_frame(storms, out_spec)
+    if with_masks:
+        hours = hours.join(missing_positions(df, spec, params), "time", "left")
+    else:
+        hours = hours.drop("_interiors")
+    return df.select("time").distinct().join(hours, "time", "left") if emit_quiet_hours else hours
+
+
+def name_hours(hours: DataFrame, threshold: float, prefix: str | None) -> DataFrame:
+    """`hours` with ids; hours without a storm get the number 00."""
+    quiet = hours.where(F.col("lon_storm").isNull())
+    of_year = F.concat(F.lit(prefix) if prefix else F.date_format("time", "yyyy"), F.lit("-00"))
+    named = name_storms(hours.where(F.col("lon_storm").isNotNull()), threshold, prefix)
+    return named.unionByName(quiet.withColumn("id", of_year))
+
+
 def detect_levels(
     df: DataFrame,
     spec: GridSpec,
@@ -167,7 +208,7 @@ def detect_levels(
     shuffled once, however many levels there are. Returns the storms, numbered within
     their frame by `idx` in the order they were found, and the cells (`time`, `iy`, `ix`) taken out.
     """
-    known = frame_values(df, spec, F.col("msl"))
+    known = frame_values(df, spec, {"values": F.col("msl")})
     found = known.mapInArrow(level_search(spec, params, [float(x) for x in levels], topdown), FOUND)
     cut = found.select("time", F.explode("interior_cells").alias("_c"))
     taken = cut.select("time", F.floor(F.col("_c") / F.lit(spec.nx)).cast("int").alias("iy"), (F.col("_c") % F.lit(spec.nx)).alias("ix"))

@@ -115,20 +115,36 @@ def strong_wind_regions(df: DataFrame, above: float = 10.0, res: float = 0.25) -
     return linked.select("time", "latitude", "longitude", "wind_speed")
 
 
-def name_storms(hours: DataFrame, threshold: float = 1.5, prefix: str = "2022") -> DataFrame:
-    """Give each storm hour an `id`: the storm goes on while its centre moves less than
-    `threshold` degrees from the last hour that had a storm. Quiet hours do not interrupt.
-
-    `hours` has one row per time with `lon_storm` and `lat_storm`.
-    """
-    dated = with_month(hours)
+def storm_starts(hours: DataFrame, threshold: float = 1.5) -> DataFrame:
+    """`hours` with `_starts`, 1 where a storm begins: the storm goes on while its centre moves less than
+    `threshold` degrees from the last hour that had a storm. Quiet hours do not interrupt."""
     moved = ordered_lags(
-        dated, [Lag("_lon", "lon_storm", ("time",)), Lag("_lat", "lat_storm", ("time",))], [[MONTH]]
+        with_month(hours), [Lag("_lon", "lon_storm", ("time",)), Lag("_lat", "lat_storm", ("time",))], [[MONTH]]
     )
     step = planar_distance(F.col("lon_storm"), F.col("lat_storm"), F.col("_lon"), F.col("_lat"))
-    starts = moved.withColumn("_starts", F.when(step < F.lit(threshold), 0).otherwise(1))
-    numbered = running_total(starts, "_starts", "_number", ["time"])
-    return numbered.withColumn("id", storm_name(prefix, F.col("_number"))).select("id", *hours.columns)
+    return moved.withColumn("_starts", F.when(step < F.lit(threshold), 0).otherwise(1)).drop("_lon", "_lat")
+
+
+def numbers_by_year(numbered: DataFrame) -> DataFrame:
+    """`_year` and `_of_year`, the year a storm began in and its number there, for hours with the number of
+    their storm in all (`_number`, with `_starts` at its first hour). One row for each storm is joined back."""
+    begun = numbered.where(F.col("_starts") == 1).select("_number", F.year("time").alias("_year"))
+    firsts = begun.groupBy("_year").agg(F.min("_number").alias("_first"))
+    of_storm = begun.join(firsts, "_year").select("_number", "_year", (F.col("_number") - F.col("_first") + 1).alias("_of_year"))
+    return numbered.join(of_storm, "_number")
+
+
+def name_storms(hours: DataFrame, threshold: float = 1.5, prefix: str | None = None) -> DataFrame:
+    """Give each storm hour an `id`: the year in which its storm began and the storm's number in that year, or,
+    with a `prefix`, that and the storm's number in all.
+
+    `hours` has one row per time with `lon_storm` and `lat_storm`.
+    """
+    numbered = running_total(storm_starts(hours, threshold), "_starts", "_number", ["time"])
+    if prefix:
+        return numbered.withColumn("id", storm_name(F.lit(prefix), F.col("_number"))).select("id", *hours.columns)
+    by_year = numbers_by_year(numbered)
+    return by_year.withColumn("id", storm_name(F.col("_year").cast("string"), F.col("_of_year"))).select("id", *hours.columns)
 
 
 def daily_segments(hourly: DataFrame) -> DataFrame:

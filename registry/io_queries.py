@@ -195,7 +195,7 @@ def snk3_landing_appended(spark: SparkSession, sf: str) -> DataFrame:
 def snk4_appended_table(spark: SparkSession, sf: str) -> DataFrame:
     """Storm hours first, the quiet hours in a second append."""
     table, path = _table_name("storms"), shared_path(spark, "snk4")
-    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, emit_quiet_hours=True, with_masks=False)
+    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, prefix="2022", emit_quiet_hours=True, with_masks=False)
     for part in (hours.where("lon_storm IS NOT NULL"), hours.where("lon_storm IS NULL")):
         sinks.append_table(part, table, path=path)
     return rounded(spark.table(table).drop("regions_storm"), 4, "amp_storm", "max_wind_speed", "area_storm")

@@ -19,7 +19,7 @@ KEYS = ["time", "latitude", "longitude"]
 
 
 def storm_hours(df: DataFrame, threshold: float = 1.5, **options) -> DataFrame:
-    return storms.hourly_storms(df, fx.SPEC, threshold=threshold, with_masks=False, **options)
+    return storms.hourly_storms(df, fx.SPEC, threshold=threshold, with_masks=False, **{"prefix": "2022"} | options)
 
 
 def found_lows(spark: SparkSession, sf: str) -> DataFrame:

@@ -177,7 +177,7 @@ def grd17_strongest_wind(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def grd18_mask_texts(spark: SparkSession, sf: str) -> DataFrame:
-    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC)
+    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, prefix="2022")
     return hours.select("time", "regions_storm")
 
 
@@ -193,7 +193,7 @@ def grd19_wrapped_globe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def grd20_hourly_storms(spark: SparkSession, sf: str) -> DataFrame:
-    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, emit_quiet_hours=True)
+    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, prefix="2022", emit_quiet_hours=True)
     return rounded(hours, 4, "amp_storm", "max_wind_speed", "area_storm")
 
 
@@ -227,7 +227,7 @@ def grd24_eccentricity_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def grd25_storms_of_all_hours(spark: SparkSession, sf: str) -> DataFrame:
-    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC)
+    hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, prefix="2022")
     return rounded(hours, 4, "amp_storm", "max_wind_speed", "area_storm")
 
 
