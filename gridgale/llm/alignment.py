@@ -32,9 +32,9 @@ from gridgale.llm.common import written
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
 PIECES = "piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SHIFT = 32  # a pair is (a << SHIFT) | b
-REMEMBERED = 300_000  # segments of texts whose ids a task keeps
+REMEMBERED = 200_000  # segments of texts whose ids a task keeps
 # Visible characters below U+0250, which are white space for neither tokenizer.
 PLAIN_BLANK = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
 
