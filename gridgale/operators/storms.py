@@ -16,6 +16,8 @@ from gridgale.operators.smoothing import SIGMA_PART, gaussian_kernel, smooth
 from gridgale.operators.windows import name_storms
 from gridgale.session import cut_lineage
 
+# The storm table's fields besides time and id.
+HOUR_FIELDS = ["lon_storm", "lat_storm", "amp_storm", "max_wind_speed", "area_storm", "regions_storm"]
 # Levels of the multi-level search, Pa; the end is not included.
 LEVELS = range(92000, 105000, 400)
 
@@ -156,15 +158,8 @@ def hourly_storms(
     their few rows are written out before ids are given, since naming reads them several times.
     """
     hours = cut_lineage(frame_storms(df, spec, params, with_masks, emit_quiet_hours))
-    named = name_hours(hours, threshold, prefix)
-    if with_masks:
-        out_spec = wrapped_spec(spec, params.globe_degrees) if params.globe else spec
-        named = named.withColumn("regions_storm", mask_texts("_interiors", "missing", out_spec))
-    else:
-        named = named.withColumn("regions_storm", F.lit(None).cast("string"))
-    return named.select(
-        "time", "id", "lon_storm", "lat_storm", "amp_storm", "max_wind_speed", "area_storm", "regions_storm"
-    )
+    named = with_mask_texts(name_hours(hours, threshold, prefix), spec, params, with_masks)
+    return named.select("time", "id", *HOUR_FIELDS)
 
 
 def frame_storms(
@@ -186,6 +181,15 @@ def frame_storms(
     return df.select("time").distinct().join(hours, "time", "left") if emit_quiet_hours else hours
 
 
+def with_mask_texts(hours: DataFrame, spec: GridSpec, params: rg.DetectParams, with_masks: bool = True) -> DataFrame:
+    """`hours` with the text of their masks; without masks it is null."""
+    if not with_masks:
+        return hours.withColumn("regions_storm", F.lit(None).cast("string"))
+    out_spec = wrapped_spec(spec, params.globe_degrees) if params.globe else spec
+    text = F.when(F.col("lon_storm").isNotNull(), mask_texts("_interiors", "missing", out_spec))
+    return hours.withColumn("regions_storm", text).drop("_interiors", "missing")
+
+
 def name_hours(hours: DataFrame, threshold: float, prefix: str | None) -> DataFrame:
     """`hours` with ids; hours without a storm get the number 00."""
     quiet = hours.where(F.col("lon_storm").isNull())

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridgale.grid import GridSpec, VIETNAM_GRID
 from gridgale.operators import merge, reports, star, storms
 from gridgale.operators.regions import DetectParams
-from gridgale.operators.windows import name_storms
-from gridgale.session import cut_lineage
+from gridgale.plans import storm_table
 from gridgale.sources import readers, sinks
 
 
@@ -44,34 +42,31 @@ def storm_job(
     joined_root: str,
     start: str,
     end: str,
-    table: str,
+    out: str,
     spec: GridSpec = VIETNAM_GRID,
     params: DetectParams = DetectParams(),
-    fmt: str = "parquet",
-    table_options: dict[str, str] | None = None,
-    append: bool = False,
-    **hourly,
+    threshold: float = 1.5,
+    emit_quiet_hours: bool = False,
+    with_masks: bool = True,
 ) -> None:
-    """Detect the storms of a time range and put them into a table.
+    """Detect the storms of a time range, which replace those that the storm folder has for it.
 
-    The range's rows replace those that the table has for it, and storms are named anew over
-    the whole table, one row an hour at most: so a range may be run again, in parts and
-    in any order, and ids are those of one run over all. `append` adds the rows as they are.
+    The folder keeps a version of each month, see `storm_table`. Only the months of the range are read and
+    written, and they change all together when the range is done; a run that breaks off changes nothing.
+    Ranges may be run again, in parts and in any order. `read_storms` gives the table.
     """
     joined = readers.read_with_time_cast(spark, joined_root)
     rows = readers.between_times(joined, start, end).select("time", "latitude", "longitude", "u10", "v10", "msl")
-    found = storms.hourly_storms(rows, spec, params, **hourly)
-    options = table_options or {}
-    if append or not spark.catalog.tableExists(table):
-        sinks.append_table(found, table, fmt, **options)
-        return
-    old = spark.table(table)
-    outside = old.join(readers.between_times(old.select("time").distinct(), start, end), "time", "left_anti")
-    hours = cut_lineage(outside.select(*found.columns).unionByName(found))
-    naming = {k: v for k, v in hourly.items() if k in ("threshold", "prefix")}
-    named = name_storms(hours.where("lon_storm IS NOT NULL").drop("id"), **naming)
-    quiet = hours.where(F.col("lon_storm").isNull())
-    sinks.replace_table(cut_lineage(named.select(*found.columns).unionByName(quiet)), table, fmt, **options)
+    found = storms.frame_storms(rows, spec, params, with_masks, emit_quiet_hours)
+    storm_table.replace_range(storms.with_mask_texts(found, spec, params, with_masks), out, start, end, threshold)
+
+
+def publish_storms(
+    spark: SparkSession, folder: str, table: str, prefix: str | None = None, fmt: str = "parquet", append: bool = False, **options: str
+) -> None:
+    """Put the named storms of a folder into a warehouse table, in place of what it holds unless `append`."""
+    put = sinks.append_table if append else sinks.replace_table
+    put(storm_table.read_storms(spark, folder, prefix), table, fmt, **options)
 
 
 def landing_job(batch: DataFrame | None, out: str, append: bool = False) -> None:

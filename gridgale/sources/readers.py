@@ -7,9 +7,10 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
+from gridgale.sources import versions
 
 
 def _read(spark: SparkSession, paths: str | Sequence[str], schema: StructType | None, base: str | None):
@@ -101,7 +102,21 @@ def union_pieces(pieces: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
-def read_landed_days(spark: SparkSession, root: str, days: Sequence[date], schema: StructType) -> DataFrame:
-    """The landed folders of the given days, in one scan."""
-    paths = [f"{root}/year={d.year}/month={d.month}/day={d.day}" for d in days]
-    return _read(spark, paths, schema, root)
+def read_landed_days(spark: SparkSession, root: str, days: DataFrame, schema: StructType) -> DataFrame:
+    """The landed rows of the days in a table (`day`), whose folders are picked while the query runs."""
+    # Folders are only picked by tables that a comparison may have made smaller.
+    wanted = days.where(F.col("day") >= F.lit("0001-01-01").cast("date")).select(*[part("day").alias(name) for name, part in (("year", F.year), ("month", F.month), ("day", F.dayofmonth))]).distinct()
+    parts = [StructField(name, IntegerType()) for name in wanted.columns]
+    return spark.read.schema(StructType([*schema.fields, *parts])).parquet(root).join(wanted, wanted.columns, "left_semi")
+
+
+def read_landed(spark: SparkSession, path: str, days: DataFrame | None = None) -> DataFrame:
+    """What `sinks.land_versions` has landed; only the days in a table (`day`) where given."""
+    parts = ["year", "month", "day"]
+    known = versions.current(spark, path, parts)
+    if known is None:
+        raise FileNotFoundError(f"nothing has been landed in {path}")
+    if days is not None:
+        wanted = days.select(F.year("day").alias("year"), F.month("day").alias("month"), F.dayofmonth("day").alias("day")).distinct()
+        known = known.join(wanted, parts, "left_semi")
+    return versions.rows_of(spark, path, known, parts)

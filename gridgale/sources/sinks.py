@@ -10,6 +10,7 @@ from gridgale.functions.keys import message_key, message_value
 from gridgale.functions.times import calendar_parts, from_epoch_ns
 from gridgale.schema import MESSAGE
 from gridgale.session import cut_lineage
+from gridgale.sources import versions
 
 DAY_COLUMNS = ["year", "month", "day"]
 
@@ -58,6 +59,23 @@ def _landed(df: DataFrame, path: str) -> DataFrame | None:
         raise
 
 
+def with_instants(df: DataFrame, time_column: str) -> DataFrame:
+    """Times as instants; whole numbers are epoch nanoseconds."""
+    kind = dict(df.dtypes)[time_column]
+    if kind in ("bigint", "int"):
+        return df.withColumn(time_column, from_epoch_ns(F.col(time_column).cast("long")))
+    return df if kind.startswith("timestamp") else df.withColumn(time_column, F.col(time_column).cast("timestamp_ntz"))
+
+
+def upsert(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a batch, and the old ones with other keys. A null is a key like any other."""
+    known = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same &= old[k].eqNullSafe(known[f"_{k}"])
+    return old.join(known, same, "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
 def land(
     df: DataFrame | None, path: str, time_column: str = "time", append: bool = False,
     keys: tuple[str, ...] = ("latitude", "longitude"),
@@ -65,28 +83,39 @@ def land(
     """Take in a freshly fetched batch: times become instants, rows go to day folders.
 
     Times may be instants, texts, or whole numbers, which are epoch nanoseconds. A batch may
-    hold part of a day: it replaces the rows with its own times and `keys`, and the other
+    hold part of a day: it replaces the rows with its own times and `keys`, nulls among them, and the other
     rows of its days stay. Only folders of these days are read and written again, from a
-    copy in the shared folder. `append` adds the rows without looking.
+    copy in the shared folder. `append` adds the rows without looking. `land_versions` does the
+    same without a moment in which days are missing.
     """
     if df is None:
         raise ValueError("there is no batch to land")
-    kind = dict(df.dtypes)[time_column]
-    if kind in ("bigint", "int"):
-        df = df.withColumn(time_column, from_epoch_ns(F.col(time_column).cast("long")))
-    elif not kind.startswith("timestamp"):
-        df = df.withColumn(time_column, F.col(time_column).cast("timestamp_ntz"))
+    df = with_instants(df, time_column)
     old = None if append else _landed(df, path)
     if old is not None:
-        known = [time_column, *[k for k in keys if k in df.columns]]
         batch = cut_lineage(df)
         days = with_day_columns(batch, time_column).select(*DAY_COLUMNS).distinct()
         touched = old.join(days, DAY_COLUMNS, "left_semi").drop(*DAY_COLUMNS)
-        stays = touched.join(batch.select(*known).distinct(), known, "left_anti")
-        df = cut_lineage(stays.unionByName(batch, allowMissingColumns=True))
+        df = cut_lineage(upsert(touched, batch, [time_column, *[k for k in keys if k in df.columns]]))
     write_by_day(df, path, time_column, mode="append" if append else "overwrite")
 
 
+def land_versions(
+    df: DataFrame | None, path: str, time_column: str = "time", keys: tuple[str, ...] = ("latitude", "longitude")
+) -> None:
+    """`land` into a folder that keeps versions of its days: they change together when the batch is in, and a batch
+    that breaks off changes nothing. `readers.read_landed` reads it."""
+    if df is None:
+        raise ValueError("there is no batch to land")
+    batch = cut_lineage(with_day_columns(with_instants(df, time_column), time_column))
+    days = batch.select(*DAY_COLUMNS).distinct()
+    known = versions.current(df.sparkSession, path, DAY_COLUMNS)
+    old = None if known is None else versions.rows_of(df.sparkSession, path, known.join(days, DAY_COLUMNS, "left_semi"), DAY_COLUMNS)
+    rows = batch if old is None else upsert(old, batch, [time_column, *[k for k in keys if k in df.columns]])
+    version = versions.add_rows(rows, path, DAY_COLUMNS)
+    versions.record(batch.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_landed")), path, version)
+
+
 def append_table(df: DataFrame, table: str, fmt: str = "parquet", **options: str) -> None:
     df.write.format(fmt).options(**options).mode("append").saveAsTable(table)
 

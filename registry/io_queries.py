@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridgale.operators import merge, reports, star, storms
-from gridgale.plans import batch
+from gridgale.plans import batch, storm_table
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
 from gridgale.session import shared_path
-from gridgale.sources import coverage, readers, sinks
+from gridgale.sources import coverage, readers, sinks, versions
 from gridgale.streaming import feed
 from gridgale.streaming import sinks as stream_sinks
 from registry import fixture as fx
@@ -40,6 +41,24 @@ def _landed(spark: SparkSession, sf: str, name: str) -> str:
     return path
 
 
+@contextmanager
+def broken_off():
+    """Jobs inside are lost once their rows are written, just before these would count."""
+    class Lost(Exception):
+        pass
+
+    def lost(*_):
+        raise Lost
+
+    record, versions.record = versions.record, lost
+    try:
+        yield
+    except Lost:
+        pass
+    finally:
+        versions.record = record
+
+
 def _per_day(df: DataFrame) -> DataFrame:
     grouped = df.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sp").alias("sp"), F.sum("tcc").alias("tcc")
@@ -125,11 +144,20 @@ def src8_message_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def src9_landed_days(spark: SparkSession, sf: str) -> DataFrame:
-    """All landed days, named one by one as a daily ingest does."""
+    """All landed days, as a table that picks the folders."""
     root = _landed(spark, sf, "src9")
-    days = fx.climate(spark, sf).select(F.to_date("time").alias("day")).distinct().collect()
+    days = fx.climate(spark, sf).select(F.to_date("time").alias("day"))
     schema = readers.read_table_files(spark, root).drop("year", "month", "day").schema
-    return _per_day(readers.read_landed_days(spark, root, [r["day"] for r in days], schema))
+    return _per_day(readers.read_landed_days(spark, root, days, schema))
+
+
+@query
+def src9_landed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed day versions, of the days with an even day of the month."""
+    root, rows = shared_path(spark, "src9v"), fx.climate(spark, sf).select(*KEYS, "sp", "tcc")
+    sinks.land_versions(rows, root)
+    days = rows.select(F.to_date("time").alias("day")).where("day(day) % 2 = 0")
+    return _per_day(readers.read_landed(spark, root, days))
 
 
 @query
@@ -176,6 +204,28 @@ def snk3_landing_half_days(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(readers.read_table_files(spark, path))
 
 
+@query
+def snk3_landing_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a latitude land twice and are there once."""
+    path, rows = shared_path(spark, "snk3n"), fx.climate(spark, sf).select(*KEYS, "sp", "tcc")
+    holes = rows.withColumn("latitude", F.when(F.col("latitude") < 23.0, F.col("latitude")))
+    folded = holes.groupBy(*KEYS).agg(F.sum("sp").alias("sp"), F.sum("tcc").alias("tcc"))
+    for _ in range(2):
+        sinks.land(folded, path)
+    return _per_day(readers.read_table_files(spark, path))
+
+
+@query
+def snk3_landing_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Mornings and afternoons in versions of days, and then a batch that breaks off before it is in."""
+    path, rows = shared_path(spark, "snk3b"), fx.climate(spark, sf).select(*KEYS, "sp", "tcc")
+    for part in ("hour(time) < 12", "hour(time) >= 12"):
+        sinks.land_versions(rows.where(part), path)
+    with broken_off():
+        sinks.land_versions(rows.withColumn("sp", F.lit(0.0)), path)
+    return _per_day(readers.read_landed(spark, path))
+
+
 @query
 def snk3_landing_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw observations, whose times are nanoseconds."""
@@ -201,15 +251,51 @@ def snk4_appended_table(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.table(table).drop("regions_storm"), 4, "amp_storm", "max_wind_speed", "area_storm")
 
 
+LATE, EARLY = ("2024-01-01 03:00:00", "2030-01-01 00:00:00"), ("2024-01-01 00:00:00", "2024-01-01 02:59:59")
+
+
+def _storm_form(hours: DataFrame) -> DataFrame:
+    return rounded(hours, 4, "amp_storm", "max_wind_speed", "area_storm")
+
+
+def _storm_folder(spark: SparkSession, cells: DataFrame, name: str, *ranges: tuple[str, str]) -> tuple[str, str]:
+    """Folders with the cells, and with the storms of some ranges in turn."""
+    root, out = shared_path(spark, f"{name}-in"), shared_path(spark, name)
+    cells.write.parquet(root)
+    for start, end in ranges:
+        batch.storm_job(spark, root, start, end, out, fx.SPEC)
+    return root, out
+
+
 @query
 def grd25_two_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """The storm job over the later frames, the earlier ones, and the later ones once more."""
-    root, table, path = shared_path(spark, "grd25-in"), _table_name("storms"), shared_path(spark, "grd25")
-    fx.grid(spark, sf).write.parquet(root)
-    late, early = ("2024-01-01 03:00:00", "2030-01-01 00:00:00"), ("2024-01-01 00:00:00", "2024-01-01 02:59:59")
-    for start, end in (late, early, late):
-        batch.storm_job(spark, root, start, end, table, fx.SPEC, table_options={"path": path})
-    return rounded(spark.table(table), 4, "amp_storm", "max_wind_speed", "area_storm")
+    """The storm job over the later frames, the earlier ones, and the later ones once more; then into a table."""
+    table, path = _table_name("storms"), shared_path(spark, "grd25t")
+    _, out = _storm_folder(spark, fx.grid(spark, sf), "grd25", LATE, EARLY, LATE)
+    for _ in range(2):
+        batch.publish_storms(spark, out, table, prefix="2022", path=path)
+    return _storm_form(spark.table(table))
+
+
+@query
+def grd25_broken_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over other pressures that breaks off once its rows are written: the table is as before."""
+    _, out = _storm_folder(spark, fx.grid(spark, sf), "grd25b", EARLY, LATE)
+    other = shared_path(spark, "grd25b-other")
+    fx.grid(spark, sf).withColumn("msl", F.col("msl") - 500.0).write.parquet(other)
+
+    with broken_off():
+        batch.storm_job(spark, other, *LATE, out, fx.SPEC)
+    return _storm_form(storm_table.read_storms(spark, out, prefix="2022"))
+
+
+@query
+def grd25_ids_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames 500 hours apart, month after month from the last year to the first; some storms go on over months and years."""
+    hours = fx.grid(spark, sf, hours_per_frame=500)
+    ranges = [("2026-01-01 00:00:00", "2099-12-31 23:00:00"), ("2025-01-01 00:00:00", "2025-12-31 23:00:00"), ("2024-01-01 00:00:00", "2024-12-31 23:00:00")]
+    _, out = _storm_folder(spark, hours, "grd25y", *ranges)
+    return _storm_form(storm_table.read_storms(spark, out).drop("regions_storm"))
 
 
 @query

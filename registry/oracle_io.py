@@ -42,6 +42,7 @@ ORACLES = {
     ),
     "src8_message_source": grid("SELECT CAST(17 AS BIGINT) AS fields, count(*) AS messages FROM grid"),
     "src9_landed_days": climate(PER_DAY.format(times=1, where="")),
+    "src9_landed_versions": climate(PER_DAY.format(times=1, where="WHERE day(time) % 2 = 0")),
     "src10_missing_hours": climate(
         """SELECT h.time FROM (SELECT unnest(generate_series(CAST(CAST(min(time) AS DATE) AS TIMESTAMP),
    CAST(CAST(max(time) AS DATE) AS TIMESTAMP) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS time FROM grid) h
@@ -56,6 +57,12 @@ ORACLES = {
     ),
     "snk3_landing_twice": climate(PER_DAY.format(times=1, where="")),
     "snk3_landing_half_days": climate(PER_DAY.format(times=1, where="")),
+    "snk3_landing_null_keys": climate(
+        "SELECT year, month, day, count(*) AS rows, " + f"{rd('sum(sp)', 4)} AS sp, {rd('sum(tcc)', 4)} AS tcc FROM ("
+        "SELECT year(time) AS year, month(time) AS month, day(time) AS day, sum(sp) AS sp, sum(tcc) AS tcc FROM grid"
+        " GROUP BY time, CASE WHEN latitude < 23.0 THEN latitude END, longitude) GROUP BY 1, 2, 3"
+    ),
+    "snk3_landing_broken": climate(PER_DAY.format(times=1, where="")),
     "snk3_landing_raw": grid(PER_DAY.format(times=1, where="")),
     "snk3_landing_appended": climate(PER_DAY.format(times=2, where="")),
     "snk4_appended_table": storms(

@@ -5,10 +5,40 @@ from __future__ import annotations
 from registry.oracle_report import FOUND, track_lengths
 from registry.oracle_scalar import CLIMATE, GRID, WIND, grid, rd
 from registry.oracle_storm_parts import (
-    BASE, FRAME_MIN, GOOD, MEASURED, SMOOTH, accepted, area, chain, label, measure, storms,
+    BASE, FRAME_MIN, GOOD, MEASURED, SMOOTH, STORM_HOURS, accepted, area, chain, label, measure, named, storms,
 )
+from registry.fixture import DUCK_TIME, GRID_SQL
 
-UPSIDE_DOWN = f"SELECT * REPLACE (202600.0E0 - msl AS msl) FROM ({GRID})"
+YEARS = GRID_SQL.format(time=DUCK_TIME.format(step=500), orders="orders")
+# Pressure is missing in some cells: it counts as the mean while frames are smoothed, and is missing again afterwards.
+GAP = "(frame*7 + iy*15 + ix) % 41 = 0"
+GAPPY = f"""SELECT * REPLACE (coalesce(CASE WHEN {GAP} THEN NULL ELSE msl END, avg(CASE WHEN {GAP} THEN NULL ELSE msl END)
+  OVER (PARTITION BY time)) AS msl), {GAP} AS gap FROM ({GRID})"""
+SMOOTH_GAPPY = SMOOTH.replace("sm AS MATERIALIZED", "filled AS MATERIALIZED") + """,
+sm AS MATERIALIZED (SELECT s.time, s.iy, s.ix, CASE WHEN g.gap THEN NULL ELSE s.v END AS v FROM filled s JOIN grid g USING (time, iy, ix)),
+gap_wind AS MATERIALIZED (SELECT time, max(sqrt(u10*u10 + v10*v10)) AS gap_wind FROM grid WHERE gap GROUP BY time)"""
+GAPPY_GOOD = (
+    SMOOTH_GAPPY, label("sm", "v < 100000.0E0"), measure(), accepted().replace("good AS MATERIALIZED", "found AS MATERIALIZED"), FRAME_MIN,
+    """
+good AS MATERIALIZED (SELECT f.* REPLACE (greatest(max_wind, coalesce(gap_wind, 0.0E0)) AS max_wind) FROM found f LEFT JOIN gap_wind USING (time))""",
+)
+# Around the globe, 24 degrees a column, the frames turned by eight columns; neighbours meet over the seam.
+TURNED = f"SELECT * REPLACE ((ix + 8) % 15 AS ix) FROM ({GRID})"
+CIRCLE = "least(abs({a}.ix - {b}.ix), 15 - abs({a}.ix - {b}.ix))"
+
+
+def around(sql: str) -> str:
+    for a, b in (("m", "r"), ("m", "n")):
+        sql = sql.replace(f"abs({a}.ix - {b}.ix)", CIRCLE.format(a=a, b=b))
+    return sql.replace("102.0E0 + 0.25E0*", "24.0E0*")
+
+
+SEAM = (
+    SMOOTH.split("sx AS")[0] + "sm AS" + SMOOTH.split("sm AS")[1].replace("g.time, g.iy, g.ix, sum(q.w*n.v)", "g.time, g.iy, g.ix, sum(q.w*n.msl)")
+    .replace("FROM sx g", "FROM grid g").replace("JOIN sx n", "JOIN grid n"),
+    around(label("sm", "v < 100000.0E0")), around(measure()), around(accepted(d=30000.0)),
+)
+UPSIDE_DOWN = UPSIDE_DOWN = f"SELECT * REPLACE (202600.0E0 - msl AS msl) FROM ({GRID})"
 HIGH = (SMOOTH, label("sm", "v > 102600.0E0"), measure(sign=-1))
 FILLED = """SELECT time, iy, ix, coalesce(sst, avg(sst) OVER (PARTITION BY time)) AS filled FROM grid"""
 ONES = "string_agg(CASE WHEN c.interior THEN '1' ELSE '0' END, '{sep}' ORDER BY {order})"
@@ -17,6 +47,8 @@ MASKS = """SELECT s.time, s.label, g.iy*15 + g.ix AS cell, coalesce(c.interior,
  LEFT JOIN cells c ON c.time = s.time AND c.label = s.label AND c.iy = g.iy AND c.ix = g.ix"""
 TEXTS = f"""SELECT time, '(' || count(DISTINCT label) || ', 20, 15)_[' || {ONES.format(sep=', ', order='c.label, c.cell')} || ']' AS regions_storm
  FROM ({MASKS}) c GROUP BY time"""
+MASKS_GAPPY = MASKS.replace("coalesce(c.interior, false)", "(coalesce(c.interior, false) OR g.gap)")
+TEXTS_GAPPY = TEXTS.replace(MASKS, MASKS_GAPPY)
 HOUR_COLUMNS = f"""time, id, lon_storm, lat_storm, {rd('amp_storm', 4)} AS amp_storm, {rd('max_wind_speed', 4)} AS max_wind_speed,
  {rd('area_storm', 4)} AS area_storm, regions_storm"""
 KEEP = "points > 2.0 AND length_km >= 150.0 AND straight_km/nullif(length_km, 0) >= 0.3"
@@ -102,9 +134,18 @@ ORACLES = {
     ),
     "grd16_interior_masks": chain(*GOOD)
     + f"\nSELECT time, label, {ONES.format(sep='', order='c.cell')} AS mask FROM ({MASKS}) c GROUP BY time, label",
+    "grd16_masks_with_gaps": chain(*GAPPY_GOOD, over=GAPPY)
+    + f"\nSELECT time, label, {ONES.format(sep='', order='c.cell')} AS mask FROM ({MASKS_GAPPY}) c GROUP BY time, label",
+    "grd17_wind_with_gaps": chain(*GAPPY_GOOD, over=GAPPY) + f"\nSELECT time, label, {rd('max_wind', 6)} AS max_wind FROM good",
     "grd17_strongest_wind": good(f"time, label, {rd('max_wind', 6)} AS max_wind FROM good"),
     "grd18_mask_texts": chain(*GOOD) + "\n" + TEXTS,
     "grd19_wrapped_globe": grid(WRAPPED),
+    "grd19_over_the_seam": chain(*SEAM, over=TURNED)
+    + f"""
+SELECT time, label, n_cells, {rd('amp_abs', 4)} AS amp_abs, {rd('amp_rel', 4)} AS amp_rel, {rd('extent_km', 3)} AS extent_km, low_lat AS lat,
+ 24.0E0*(low_cell % 15) AS lon FROM good""",
+    "grd20_hours_with_gaps": chain(*GAPPY_GOOD, STORM_HOURS, named(1.5), over=GAPPY)
+    + f"\nSELECT {HOUR_COLUMNS} FROM hourly LEFT JOIN ({TEXTS_GAPPY}) USING (time)",
     "grd20_hourly_storms": storms(f"SELECT {HOUR_COLUMNS} FROM hourly LEFT JOIN ({TEXTS}) USING (time)"),
     "grd21_levels": levels(
         "SELECT time, label, level, row_number() OVER (PARTITION BY time ORDER BY level DESC, label) - 1 AS idx, n_cells,"
@@ -119,6 +160,13 @@ ORACLES = {
         limit=f"2.0E0*sqrt({area('n_cells', 'interior_lat')}/(pi()*sqrt(1.0E0 - 0.62E0*0.62E0)))",
     ),
     "grd25_storms_of_all_hours": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
+    "grd25_broken_run": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
+    "grd25_ids_by_year": storms(
+        f"""SELECT time, strftime(first, '%Y') || printf('-%02d', dense_rank() OVER (PARTITION BY strftime(first, '%Y') ORDER BY first)) AS id, lon_storm, lat_storm,
+ {rd('amp_storm', 4)} AS amp_storm, {rd('max_wind_speed', 4)} AS max_wind_speed, {rd('area_storm', 4)} AS area_storm
+ FROM (SELECT *, min(time) OVER (PARTITION BY id) AS first FROM named)""",
+        over=YEARS,
+    ),
     "grd25_two_ranges": storms(f"SELECT {HOUR_COLUMNS} FROM named JOIN ({TEXTS}) USING (time)"),
     "trk1_detections": chain(*GOOD)
     + f"""

@@ -170,6 +170,27 @@ def grd16_interior_masks(spark: SparkSession, sf: str) -> DataFrame:
     return longs(masks.select("time", "label", text.alias("mask")), "label")
 
 
+def gappy(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid without pressure in some cells."""
+    g = fx.grid(spark, sf)
+    place = F.col("frame") * 7 + F.col("iy") * 15 + F.col("ix")
+    return g.withColumn("msl", F.when(place % 41 != 0, F.col("msl")))
+
+
+@query
+def grd16_masks_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells without pressure are part of every mask of their frame."""
+    masks = storms.interior_masks(storms.detect(gappy(spark, sf), fx.SPEC), fx.SPEC)
+    text = F.array_join(F.col("mask").cast("array<string>"), "")
+    return longs(masks.select("time", "label", text.alias("mask")), "label")
+
+
+@query
+def grd17_wind_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The strongest wind is also looked for where pressure is missing."""
+    return _regions(storms.detect(gappy(spark, sf), fx.SPEC), 6, max_wind="max_wind")
+
+
 @query
 def grd17_strongest_wind(spark: SparkSession, sf: str) -> DataFrame:
     return _regions(found(spark, sf), 6, max_wind="max_wind")
@@ -191,6 +212,24 @@ def grd19_wrapped_globe(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rounded(out, 4, "msl", "wind"), "iy", "ix")
 
 
+@query
+def grd19_over_the_seam(spark: SparkSession, sf: str) -> DataFrame:
+    """Lows that lie on the seam of a grid around the globe, each found once."""
+    globe = GridSpec(20, 15, 24.0, 0.0, res_lon=24.0)
+    turned = fx.grid(spark, sf).withColumn("longitude", (F.col("ix") + 8) % 15 * F.lit(24.0))
+    lows = storms.detect(turned, globe, DetectParams(seam=True, center="region_min", d_thresh=30000.0))
+    return rounded(
+        _regions(lows, n_cells="n_cells", amp_abs="amp_abs", amp_rel="amp_rel", extent_km="extent_km", lat="lat", lon="lon"), 3, "extent_km"
+    )
+
+
+@query
+def grd20_hours_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps, quiet hours and storms of frames without pressure in some cells, from one scan."""
+    hours = storms.hourly_storms(gappy(spark, sf), fx.SPEC, prefix="2022", emit_quiet_hours=True)
+    return rounded(hours, 4, "amp_storm", "max_wind_speed", "area_storm")
+
+
 @query
 def grd20_hourly_storms(spark: SparkSession, sf: str) -> DataFrame:
     hours = storms.hourly_storms(fx.grid(spark, sf), fx.SPEC, prefix="2022", emit_quiet_hours=True)

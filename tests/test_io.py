@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from gridgale.operators import merge
-from gridgale.plans import batch
+from gridgale.plans import batch, storm_table
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
 from gridgale.session import shared_folder
 from gridgale.sources import coverage, readers, sinks
@@ -83,12 +83,78 @@ def test_batch_jobs_from_landing_to_storms(spark, tmp_path):
         assert spark.read.parquet(f"{root}/{name}").count() == rows
     assert spark.read.parquet(f"{root}/daily").count() == 1
     assert spark.read.parquet(f"{root}/star/dim_location").count() == 300
+    span = "2024-01-01 00:00:00", "2024-01-01 03:00:00"
+    batch.storm_job(spark, f"{root}/joined", *span, f"{root}/storms", fx.SPEC, emit_quiet_hours=True)
     table = f"storms_{tmp_path.name.replace('-', '_')}"
-    batch.storm_job(
-        spark, f"{root}/joined", "2024-01-01 00:00:00", "2024-01-01 03:00:00", table, fx.SPEC,
-        table_options={"path": f"{root}/storms"}, emit_quiet_hours=True,
+    for append in (False, True, False, True):
+        batch.publish_storms(spark, f"{root}/storms", table, append=append, path=f"{root}/warehouse")
+    assert spark.table(table).count() == 8
+    assert spark.table(table).where("id LIKE '2024-%'").count() == 8
+
+
+def storm_hours(spark, *hours):
+    """(time, lon) as unnamed storm hours; without a longitude the hour is quiet."""
+    rows = [(dt.datetime.fromisoformat(t), lon, None if lon is None else 10.0, 1.0, 2.0, 3.0, None) for t, lon in hours]
+    return spark.createDataFrame(
+        rows, "time timestamp_ntz, lon_storm double, lat_storm double, amp_storm double, max_wind_speed double, area_storm double, regions_storm string"
     )
-    assert spark.table(table).count() == 4
+
+
+def ids(spark, path, **how):
+    return [(str(r["time"])[:13], r["id"]) for r in storm_table.read_storms(spark, path, **how).orderBy("time").collect()]
+
+
+def test_storm_ids_do_not_depend_on_the_order_of_ranges(spark, tmp_path):
+    hours = [
+        ("2023-11-30 20:00:00", 100.0), ("2023-11-30 21:00:00", 105.0), ("2023-12-31 22:00:00", 105.5), ("2023-12-31 23:00:00", None),
+        ("2024-01-01 00:00:00", 106.0), ("2024-01-20 05:00:00", 120.0), ("2024-03-02 00:00:00", 120.5), ("2024-03-03 00:00:00", 130.0),
+    ]
+    months = {"2023-11": "30", "2023-12": "31", "2024-01": "31", "2024-02": "29", "2024-03": "31"}
+    for n, order in enumerate((sorted(months), sorted(months)[::-1], ["2024-01", "2023-12", "2024-03", "2023-11", "2024-02", "2024-01"])):
+        path = str(tmp_path / str(n))
+        for m in order:
+            part = storm_hours(spark, *[h for h in hours if h[0].startswith(m)])
+            storm_table.replace_range(part, path, f"{m}-01 00:00:00", f"{m}-{months[m]} 23:59:59", 1.5)
+        by_year = ["2023-01", "2023-02", "2023-02", "2023-00", "2023-02", "2024-01", "2024-01", "2024-02"]
+        assert ids(spark, path) == [(t[:13], i) for (t, _), i in zip(hours, by_year)]
+        in_all = ["S-01", "S-02", "S-02", "S-00", "S-02", "S-03", "S-03", "S-04"]
+        assert ids(spark, path, prefix="S") == [(t[:13], i) for (t, _), i in zip(hours, in_all)]
+        for how in ({}, {"prefix": "S"}):
+            cut = ids(spark, path, start="2024-01-01 00:00:00", end="2024-03-02 00:00:00", **how)
+            assert cut == [x for x in ids(spark, path, **how) if "2024-01-01" <= x[0] <= "2024-03-02 00"]
+
+
+def test_a_range_leaves_other_months_files_and_part_months_alone(spark, tmp_path):
+    path = str(tmp_path / "storms")
+    first = [("2024-01-10 00:00:00", 100.0), ("2024-01-20 00:00:00", 110.0), ("2024-02-05 00:00:00", 120.0), ("2024-02-06 00:00:00", 130.0)]
+    storm_table.replace_range(storm_hours(spark, *first), path, "2024-01-01 00:00:00", "2024-02-29 23:00:00", 1.5)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "storms/rows").rglob("*.parquet")}
+    storm_table.replace_range(storm_hours(spark, ("2024-02-06 00:00:00", 120.2)), path, "2024-02-06 00:00:00", "2024-02-07 00:00:00", 1.5)
+    assert ids(spark, path) == [("2024-01-10 00", "2024-01"), ("2024-01-20 00", "2024-02"), ("2024-02-05 00", "2024-03"), ("2024-02-06 00", "2024-03")]
+    now = {p: p.stat().st_mtime_ns for p in (tmp_path / "storms/rows").rglob("*.parquet")}
+    assert {p: now[p] for p in files} == files and {p.parts[-3] for p in set(now) - set(files)} == {"month=2024-02"}
+    storm_table.replace_range(storm_hours(spark), path, "2024-01-01 00:00:00", "2024-01-31 23:00:00", 1.5)
+    assert ids(spark, path) == [("2024-02-05 00", "2024-01"), ("2024-02-06 00", "2024-01")]
+
+
+def test_null_keys_land_once(spark, tmp_path):
+    rows = observations(spark).withColumns({"latitude": F.lit(None).cast("double"), "u10": F.col("u10") * 2})
+    for land, read in ((sinks.land, readers.read_table_files), (sinks.land_versions, readers.read_landed)):
+        path = str(tmp_path / land.__name__)
+        for part in (rows, rows.where("hour(time) < 6").withColumn("u10", F.lit(-1.0)), rows.limit(0)):
+            land(part, path)
+        got = read(spark, path)
+        assert got.count() == 72 and got.where("u10 = -1").count() == 18
+
+
+def test_landed_days_are_pruned_while_the_query_runs(spark, tmp_path):
+    sinks.land(observations(spark), str(tmp_path / "plain"))
+    sinks.land_versions(observations(spark), str(tmp_path / "kept"))
+    spark.createDataFrame([(dt.date(2023, 12, 31),)], "day date").write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    schema = readers.read_table_files(spark, str(tmp_path / "plain")).drop("year", "month", "day").schema
+    for got in (readers.read_landed_days(spark, str(tmp_path / "plain"), days, schema), readers.read_landed(spark, str(tmp_path / "kept"), days)):
+        assert got.count() == 24 and "dynamicpruning" in plan_of(got)
 
 
 def test_shared_folder_follows_the_session(spark):

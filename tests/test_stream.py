@@ -72,6 +72,37 @@ def test_a_new_checkpoint_adds_and_a_batch_run_again_does_not(spark, tmp_path):
     assert spark.table(table).select("run", "batch").distinct().count() == 2
 
 
+@pytest.mark.parametrize("lost", ["begun", "done"])
+def test_a_batch_cut_off_between_files_and_table_comes_once(spark, tmp_path, monkeypatch, lost):
+    """The job is lost at a note of the ledger: before the table is loaded, or just after it."""
+    import shutil
+
+    write(tmp_path / "in", "a.txt", GOOD, GOOD)
+    table = f"cut_{lost}_{tmp_path.name.replace('-', '_')}"
+
+    def run_once():
+        stream = feed.parse_stream(feed.read_messages(spark, "text", str(tmp_path / "in")))
+        stream_sinks.to_files_and_table(
+            stream, str(tmp_path / "out"), table, str(tmp_path / "c"), once=True, table_options={"path": str(tmp_path / "table")}
+        ).awaitTermination()
+
+    note = stream_sinks.Ledger.note
+
+    def breaks(self, run, batch, rows, state):
+        if state == lost:
+            raise RuntimeError("lost")
+        note(self, run, batch, rows, state)
+
+    monkeypatch.setattr(stream_sinks.Ledger, "note", breaks)
+    with pytest.raises(Exception, match="lost"):
+        run_once()
+    monkeypatch.setattr(stream_sinks.Ledger, "note", note)
+    run_once()
+    shutil.rmtree(tmp_path / "c" / "commits")
+    run_once()
+    assert spark.table(table).count() == spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 def test_the_live_job_runs_from_feed_to_table(spark, tmp_path):
     write(tmp_path / "in", "a.txt", GOOD, "1, 2")
     table = f"live_{tmp_path.name.replace('-', '_')}"
