@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridgale.functions.keys import location_key, observation_id, row_id
@@ -26,17 +26,19 @@ FACT_NAMES = {
 }
 
 
-def _condition_id():
-    return row_id(*[F.lit(UNKNOWN) for _ in CONDITION_LABELS])
+def _labels(weather: DataFrame) -> list[Column]:
+    """The labels of an observation's condition; those that the table lacks, or has no value for, are unknown."""
+    unknown = F.lit(UNKNOWN)
+    return [(F.coalesce(F.col(n), unknown) if n in weather.columns else unknown).alias(n) for n in CONDITION_LABELS]
 
 
 def fact(weather: DataFrame) -> DataFrame:
-    """One row per observation; `weather_id` points at the (still unknown) condition."""
+    """One row per observation; `weather_id` points at its condition."""
     return weather.select(
         observation_id(F.col("time"), F.col("latitude"), F.col("longitude")).alias("fact_id"),
         F.col("time").alias("time_id"),
         location_key(F.col("latitude"), F.col("longitude")).alias("location_id"),
-        _condition_id().alias("weather_id"),
+        row_id(*_labels(weather)).alias("weather_id"),
         *[F.col(raw).alias(name) for raw, name in FACT_NAMES.items()],
     )
 
@@ -59,10 +61,9 @@ def location_dimension(weather: DataFrame) -> DataFrame:
 
 
 def condition_dimension(weather: DataFrame) -> DataFrame:
-    """The one condition that the raw data knows, without reading it."""
-    return weather.sparkSession.range(1).select(
-        _condition_id().alias("weather_id"), *[F.lit(UNKNOWN).alias(name) for name in CONDITION_LABELS]
-    )
+    """The conditions that the table has: distinct labels first, their key after."""
+    labels = weather.select(*_labels(weather)).distinct()
+    return labels.select(row_id(*[F.col(n) for n in CONDITION_LABELS]).alias("weather_id"), *CONDITION_LABELS)
 
 
 def split(weather: DataFrame) -> dict[str, DataFrame]:
@@ -76,11 +77,10 @@ def split(weather: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_back(tables: dict[str, DataFrame]) -> DataFrame:
-    """Facts with their dimensions. Conditions are one row, with the same key in every fact, and so
-    are broadcast; for the others that is left to measured sizes."""
+    """Facts with their dimensions; which of these are broadcast is left to measured sizes."""
     return (
         tables["fact_weather_measurements"]
         .join(tables["dim_time"], "time_id")
         .join(tables["dim_location"], "location_id")
-        .join(F.broadcast(tables["dim_weather_conditions"]), "weather_id")
+        .join(tables["dim_weather_conditions"], "weather_id")
     )

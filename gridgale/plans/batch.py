@@ -24,6 +24,20 @@ def merge_job(
         sinks.write_files(joined, out, partitions)
 
 
+def store_for_merge(spark: SparkSession, weather_root: str, rain_root: str, weather_table: str, rain_table: str, buckets: int) -> None:
+    """Raw weather and rain as tables in equal buckets of the instant, for merges that need no shuffle.
+
+    Coordinates are no bucket keys: joins compare normalised floating point numbers, which have hashes of their own.
+    """
+    sinks.write_bucketed(readers.read_weather(spark, weather_root), weather_table, ["time"], buckets)
+    sinks.write_bucketed(readers.read_rain(spark, rain_root), rain_table, ["valid_time"], buckets)
+
+
+def merge_tables_job(spark: SparkSession, weather_table: str, rain_table: str, out: str) -> None:
+    """`merge_job` over the tables of `store_for_merge`, bucket by bucket."""
+    sinks.write_files(merge.merge_weather(spark.table(rain_table), spark.table(weather_table)), out)
+
+
 def transform_job(spark: SparkSession, joined_root: str, result_out: str, rain_out: str) -> None:
     """Derived physics by day, and the daily rain report: two outputs of one table."""
     joined = readers.read_with_time_cast(spark, joined_root).drop("year", "month", "day")

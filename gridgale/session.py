@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Tables in buckets of the instant are joined on place and instant as they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     # Saves several JVM calls per column expression while plans are built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

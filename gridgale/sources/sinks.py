@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridgale.functions.keys import message_key, message_value
 from gridgale.functions.times import calendar_parts, from_epoch_ns
+from gridgale.grid import GridSpec
 from gridgale.schema import MESSAGE
 from gridgale.session import cut_lineage
 from gridgale.sources import versions
@@ -49,6 +50,25 @@ def write_by_day(
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, **options: str) -> None:
+    """Overwrite a catalog table with one file for each bucket of `keys`, sorted by them: tables with equal buckets of
+    matching keys are joined as they lie, without a shuffle."""
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").options(**options).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
+def write_clustered(
+    df: DataFrame, path: str, spec: GridSpec, time_column: str = "time", tile: int = 16, group_bytes: int = 8 << 20
+) -> None:
+    """Overwrite a folder with rows in order of day, tile of the grid, time and place, so that the statistics of row groups
+    (of about `group_bytes`) keep a query of few places out of most groups, in space as well as in time."""
+    day = F.to_date(time_column).alias("_day")
+    tiles = [F.floor(i / F.lit(tile)).alias(n) for n, i in (("_ty", spec.iy(F.col("latitude"))), ("_tx", spec.ix(F.col("longitude"))))]
+    order = ["_day", "_ty", "_tx", time_column, "latitude", "longitude"]
+    placed = df.select("*", day, *tiles).repartitionByRange(*order[:4]).sortWithinPartitions(*order)
+    placed.drop("_day", "_ty", "_tx").write.mode("overwrite").option("parquet.block.size", group_bytes).parquet(path)
+
+
 def _landed(df: DataFrame, path: str) -> DataFrame | None:
     """What lies in the folder already; nothing before the first batch."""
     try:

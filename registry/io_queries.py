@@ -109,6 +109,15 @@ def src6_table_range(spark: SparkSession, sf: str) -> DataFrame:
     return readers.raster_order(rows)
 
 
+@query
+def src6_clustered_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A few places and hours out of files in order of day, tile, time and place."""
+    path = shared_path(spark, "src6c")
+    sinks.write_clustered(fx.grid(spark, sf).select(*KEYS, "sp", "tcc"), path, fx.SPEC, tile=4, group_bytes=64 << 10)
+    rows = readers.between_times(spark.read.parquet(path), "2024-01-01 00:00:00", "2024-01-02 23:00:00")
+    return readers.raster_order(rows.where("latitude BETWEEN 21.0 AND 22.0 AND longitude BETWEEN 103.0 AND 104.5"))
+
+
 @query
 def src7_whole_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return longs(readers.read_table_files(spark, _landed(spark, sf, "src7")), "year", "month", "day")

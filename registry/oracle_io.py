@@ -37,6 +37,10 @@ ORACLES = {
         "SELECT time, latitude, longitude, sp, tcc FROM grid"
         " WHERE time BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-02 23:00:00'"
     ),
+    "src6_clustered_range": grid(
+        "SELECT time, latitude, longitude, sp, tcc FROM grid WHERE latitude BETWEEN 21.0 AND 22.0 AND longitude BETWEEN 103.0 AND 104.5"
+        " AND time BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-02 23:00:00'"
+    ),
     "src7_whole_dataset": climate(
         "SELECT time, latitude, longitude, sp, tcc, year(time) AS year, month(time) AS month, day(time) AS day FROM grid"
     ),

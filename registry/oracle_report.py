@@ -137,3 +137,4 @@ QUALIFY row_number() OVER (PARTITION BY time, idx ORDER BY km, next_idx) = 1""",
         " count(DISTINCT (iy, ix)) = 300 AND count(*) = 300 AS regular FROM grid GROUP BY time"
     ),
 }
+ORACLES["joi1_stored_alike"] = ORACLES["joi1_rain_and_weather"]

@@ -207,5 +207,9 @@ ORACLES = {
     "set3_condition_dimension": grid(
         "SELECT DISTINCT 'Unknown' AS weather_type, 'Unknown' AS wind_category, 'Unknown' AS cloud_cover_category FROM grid"
     ),
+    "set3_conditions_with_labels": grid(
+        "SELECT 'Unknown' AS weather_type, 'Unknown' AS wind_category, CASE WHEN tcc < 0.3 THEN 'clear' WHEN tcc < 0.8 THEN 'cloudy'"
+        " ELSE 'Unknown' END AS cloud_cover_category, count(*) AS facts FROM grid GROUP BY 3"
+    ),
     "set4_union_of_pieces": grid("SELECT time, latitude, longitude, sp, tp FROM grid"),
 }

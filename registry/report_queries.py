@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,22 @@ def joi1_rain_and_weather(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(joined.select(*KEYS, "t2m", "d2m", "u10", "v10", "sst", "tcc", "tp"), 6, "t2m", "d2m", "u10", "v10")
 
 
+def bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw tables stored in equal buckets of the instant, and merged."""
+    names = {n: f"{n}_{uuid.uuid4().hex}" for n in ("weather", "rain")}
+    for name, instant in (("weather", "time"), ("rain", "valid_time")):
+        table = getattr(fx, name)(spark, sf)
+        sinks.write_bucketed(table, names[name], [instant], 8, path=shared_path(spark, names[name]))
+    return merge.merge_weather(spark.table(names["rain"]), spark.table(names["weather"]))
+
+
+@query
+def joi1_stored_alike(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join over tables in equal buckets, which are not shuffled."""
+    joined = bucketed_join(spark, sf)
+    return rounded(joined.select(*KEYS, "t2m", "d2m", "u10", "v10", "sst", "tcc", "tp"), 6, "t2m", "d2m", "u10", "v10")
+
+
 @query
 def joi2_star_read_back(spark: SparkSession, sf: str) -> DataFrame:
     """The four tables are written, read and joined again."""

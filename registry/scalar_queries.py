@@ -305,6 +305,15 @@ def set3_condition_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return star.condition_dimension(fx.weather(spark, sf)).drop("weather_id")
 
 
+@query
+def set3_conditions_with_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Conditions of a table that has labels for the cloud cover, where it is known; facts point at them."""
+    cover = F.when(F.col("tcc") < 0.3, "clear").when(F.col("tcc") < 0.8, "cloudy")
+    labelled = fx.weather(spark, sf).withColumn("cloud_cover_category", cover)
+    facts = star.fact(labelled).groupBy("weather_id").agg(F.count(F.lit(1)).alias("facts"))
+    return star.condition_dimension(labelled).join(facts, "weather_id").drop("weather_id")
+
+
 @query
 def set4_union_of_pieces(spark: SparkSession, sf: str) -> DataFrame:
     g = fx.grid(spark, sf)
