@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridgale.llm.common import written
+from gridgale.llm.common import let, written
 
 # The base kinds in their order. The first group is the value where there is
 # one; `least` is the number of characters the value must have.
@@ -58,20 +58,52 @@ def found(text: Column, kind: str) -> Column:
     )
     none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string,value:string>>")
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + F.length(step["gap"])
-        end = start + F.length(step["whole"])
-        match = F.struct(
-            start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(kind).alias("kind"), step["value"].alias("value")
-        )
-        return F.struct(end.alias("at"), F.concat(state["all"], F.array(match)).alias("all"))
+    def placed(all_steps: Column) -> Column:
+        ends = running(F.transform(all_steps, lambda s: (F.length(s["gap"]) + F.length(s["whole"])).cast("long")), lambda x, y: x + y)
+        return let(ends, lambda at: F.transform(all_steps, lambda s, i: F.struct(
+            (F.get(at, i) - F.length(s["whole"])).alias("start"), F.lit(order).alias("order"), F.get(at, i).alias("end"),
+            F.lit(kind).alias("kind"), s["value"].alias("value"),
+        )))
 
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("all"))
-    every = F.aggregate(steps, begin, add, lambda s: s["all"])
-    kept = F.filter(every, lambda m: F.length(m["value"]) >= least)
+    kept = F.filter(let(steps, placed), lambda m: F.length(m["value"]) >= least)
     return F.when(text.rlike(pattern), kept).otherwise(none)
 
 
+def running(values: Column, add) -> Column:
+    """What `add` makes of all values up to each one.
+
+    Values are cut into blocks as long as there are blocks: one looks back over its own block and adds what all blocks
+    before it come to. So n values take n times the root of n short steps, and no list is built up one by one.
+    """
+    zero = F.lit(0).cast("long")
+
+    def over(part: Column) -> Column:
+        return F.aggregate(part, zero, add)
+
+    def in_blocks(a: Column, size: Column) -> Column:
+        whole = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size(a) - 1, size).cast("int")), lambda k: over(F.slice(a, k * size + 1, size)))
+        before = let(whole, lambda w: F.transform(w, lambda _, k: over(F.slice(w, F.lit(1), k))))
+        return let(before, lambda earlier: F.transform(
+            a, lambda _, i: add(F.get(earlier, F.call_function("div", i, size).cast("int")), over(F.slice(a, i - i % size + 1, i % size + 1)))
+        ))
+
+    return let(values, lambda a: F.when(F.size(a) == 0, a).otherwise(
+        let(F.ceil(F.sqrt(F.size(a))).cast("int"), lambda size: in_blocks(a, size))
+    ))
+
+
+def outside(wide: Column, base: Column) -> Column:
+    """The wide matches that lie in no base match: the base matches that begin before or with them end earlier."""
+    def beyond(entries: Column) -> Column:
+        ends = F.transform(entries, lambda e: F.when(e["order"] < len(BASE), e["end"]).otherwise(F.lit(0).cast("long")))
+        return let(
+            running(ends, lambda x, y: F.greatest(x, y)),
+            lambda most: F.filter(entries, lambda e, i: (e["order"] >= len(BASE)) & (F.get(most, i) < e["end"])),
+        )
+
+    return F.when((F.size(wide) == 0) | (F.size(base) == 0), wide).otherwise(let(F.array_sort(F.concat(base, wide)), beyond))
+
+
 def joined(spans: Column) -> Column:
     """`kind:start:end` by start, then kind, then end, with commas between."""
     return F.array_join(
@@ -112,12 +144,9 @@ def scan_secrets(
         F.col(f"`{owner}`").cast("string").alias("owner"), F.col(f"`{repository}`").cast("string").alias("repository"),
         body.alias("_t"),
     ).select("row", "owner", "repository", base.alias("base"), wide.alias("wide"))
-    outside = F.filter(
-        "wide", lambda w: ~F.exists("base", lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"]))
-    )
     scanned = written(
         scanned.select(
-            "row", "owner", "repository", "base", outside.alias("wide"), F.monotonically_increasing_id().alias("id")
+            "row", "owner", "repository", "base", outside(F.col("wide"), F.col("base")).alias("wide"), F.monotonically_increasing_id().alias("id")
         ),
         "secrets-scanned",
     )
