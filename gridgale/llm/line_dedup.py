@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,6 +145,35 @@ def lines_to_drop(held: DataFrame, min_documents: int) -> DataFrame:
     )
 
 
+def _without(min_chars: int):
+    """The texts without the lines whose hashes are listed; a line is looked up in a set, however many there are."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, sizes, dropped = [], [], []
+            for text, drops in zip(batch["text"].to_pylist(), batch["drops"]):
+                lines = (text or "").split("\n")
+                sizes.append(len(lines))
+                kept = lines
+                if drops.is_valid:
+                    gone = set(drops.values.to_pylist())
+                    kept = [x for x in lines if len(x) < min_chars or _key_hash(x, min_chars) not in gone]
+                dropped.append(len(lines) - len(kept))
+                texts.append("\n".join(kept))
+            columns = [batch["row"], pa.array(sizes, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "n_lines", "n_dropped", "kept_text"])
+
+    return work
+
+
+def _key_hash(line: str, min_chars: int) -> int | None:
+    """The hash of a line's key as `xxhash64` gives it; of keys that are too short, none."""
+    key = line.strip(SPACES)
+    if len(key) < min_chars:
+        return None
+    h = xxhash.xxh64_intdigest(key.encode().lower(), 42)  # of bytes, lower() takes A to Z alone
+    return h - (1 << 64) if h >> 63 else h
+
+
 def drop_repeated_lines(
     docs: DataFrame, carry: list[str] | None = None, text: str = "text", key: str = "doc_id",
     min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS,
@@ -163,14 +193,6 @@ def drop_repeated_lines(
         F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("row"),
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
     )
-    joined = rows.join(drops, F.col("key").eqNullSafe(F.col("doc")), "left")
-    lines = split_lines(F.col("text"))
-    stays = F.filter(
-        lines,
-        lambda line: (F.length(line) < min_chars) | ~F.array_contains("drops", F.xxhash64(line_key(line))),
-    )
-    kept = F.when(F.col("drops").isNull(), lines).otherwise(stays)
-    return joined.select("row", F.size(lines).cast("long").alias("n_lines"), kept.alias("kept")).select(
-        "row", "n_lines", (F.col("n_lines") - F.size("kept")).cast("long").alias("n_dropped"),
-        F.array_join("kept", "\n").alias("kept_text"),
-    )
+    joined = rows.join(drops, F.col("key").eqNullSafe(F.col("doc")), "left").select("row", "text", "drops")
+    kind = rows.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(_without(min_chars), f"row {kind}, n_lines bigint, n_dropped bigint, kept_text string")
