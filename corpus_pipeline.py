@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridgale.llm import stages
-from gridgale.llm.common import documents, written
+from gridgale.llm.common import documents, remove
+from gridgale.session import shared_path
 
 STAGES = [
     ("toxicity", stages.clean),
@@ -19,8 +20,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written to the shared folder and read again by the next."""
-    docs = documents(spark, sf_dir)
+    """All stages in turn, each written to the shared folder and read again by the next; then what it read goes."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = shared_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+import time
+from functools import wraps
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,10 +45,65 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df`, stored in the shared folder and read from there: computed once, and a lost
     executor costs no more than reading a file again."""
     path = shared_path(df.sparkSession, name)
+    if _at_work is not None:
+        _at_work.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# The inner tables of the stage at work, and by application those of stages that have returned, with the time.
+_at_work: list[str] | None = None
+_left: dict[str, list[tuple[str, float]]] = {}
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def _written_at(docs: DataFrame) -> float:
+    """When the documents' files were written, in seconds; 0 where they come from no files."""
+    given = docs.inputFiles()
+    if not given:
+        return 0.0
+    files, place = _place(docs.sparkSession, given[0])
+    return files.getFileStatus(place).getModificationTime() / 1000
+
+
+def as_stage(work):
+    """A stage of a pipeline, whose result is written and reread before the next stage begins.
+
+    Its inner tables are needed until its result is written. They go when a stage begins on documents that were
+    written after it had returned, and that are not read from these tables themselves. Tables
+    that operators write outside of stages stay.
+    """
+
+    @wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _at_work
+        left = _left.pop(spark.sparkContext.applicationId, [])
+        if left:
+            at, given = _written_at(docs), docs.inputFiles()
+            over = [p for p, returned in left if returned < at and not any(p.rsplit("/", 1)[1] in f for f in given)]
+            for path in over:
+                remove(spark, path)
+            left = [x for x in left if x[0] not in over]
+        before, _at_work = _at_work, []
+        try:
+            return work(spark, docs, sf_dir)
+        finally:
+            _left[spark.sparkContext.applicationId] = left + [(p, time.time()) for p in _at_work]
+            _at_work = before
+
+    return stage
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns in one column `row`, so that no name of theirs meets a name of ours."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

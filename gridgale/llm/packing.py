@@ -17,15 +17,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridgale.llm.common import ranked, written
+from gridgale.llm.common import written
 
 LENGTH = 4096
 END_ID = 2
+ID_BYTES = 2  # of a stored id; the vocabulary has 49,408
 TOKENIZER = "word_bpe_49k.json"
 BATCH_BYTES = 8 << 20
+BROADCAST_ROWS = 500_000  # rows of three numbers that are sent to all tasks; more are shuffled
 REMEMBERED = 200_000  # pieces of words whose ids a task keeps
 # Plain words, and how the tokenizer cuts them before it merges: the same rules
 # on the letters below U+0250. Whatever else a word holds goes to the tokenizer as it is.
@@ -162,9 +165,21 @@ def token_ids(texts: pa.Array, encoder: WordEncoder, end_id: int) -> tuple[np.nd
     return ids[at], stops[ends + np.arange(len(ends))]
 
 
-def _cut(path: str, size: int, end_id: int, with_ids: bool):
+def _places(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The place of each piece among those of its length, going on from the numbers `seen`."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    out = np.empty(len(lengths), np.int64)
+    out[order] = np.arange(len(ordered)) - np.searchsorted(ordered, ordered)
+    out += seen[lengths]
+    np.add.at(seen, lengths, 1)
+    return out
+
+
+def _cut(path: str, size: int, end_id: int, with_ids: bool, id_bytes: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(_tokenizer(path))
+        task, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for whole in batches:
             weight = np.cumsum(pc.fill_null(pc.binary_length(whole["text"]), 0).to_numpy())
             cuts = np.searchsorted(weight, np.arange(BATCH_BYTES, int(weight[-1]) if len(weight) else 0, BATCH_BYTES))
@@ -185,11 +200,15 @@ def _cut(path: str, size: int, end_id: int, with_ids: bool):
                     "row": batch["row"].take(pa.array(of)),
                     "start": pa.array(start), "length": pa.array(length),
                     "ids_crc32": pa.array([zlib.crc32(ids[x:y]) for x, y in bounds], pa.int64()),
-                    "doc_tokens": pa.array(tokens[of]),
+                    "doc_tokens": pa.array(tokens[of]), "task": pa.array(np.full(len(of), task, np.int32)),
+                    "place": pa.array(_places(length, seen)),
                 }
                 if with_ids:
-                    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+                    if len(ids) and int(ids.max()) >> (8 * id_bytes):
+                        raise ValueError(f"an id does not fit into {id_bytes} bytes")
+                    offsets = np.concatenate([[0], np.cumsum(length)]) * id_bytes
+                    short = pa.py_buffer(ids.astype(f"<u{id_bytes}"))
+                    columns["ids"] = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int32)), short])
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return cut
@@ -197,30 +216,36 @@ def _cut(path: str, size: int, end_id: int, with_ids: bool):
 
 def pack_documents(
     docs: DataFrame, carry: list[str] | None = None, text: str = "text", size: int = LENGTH,
-    tokenizer: str = TOKENIZER, end_id: int = END_ID, with_ids: bool = True,
+    tokenizer: str = TOKENIZER, end_id: int = END_ID, with_ids: bool = True, id_bytes: int = ID_BYTES,
 ) -> DataFrame:
     """`row` (the columns `carry`, by default all) with `start`, `length`, `ids_crc32`, `doc_tokens`,
-    `sequence_id`, `offset`, and with `with_ids` the token `ids`; one row a piece.
+    `sequence_id`, `offset`, and with `with_ids` the token `ids`, little-endian numbers of `id_bytes` bytes; one
+    row a piece.
 
     A null or empty text is its end id alone. A very long text is cut into whole
     sequences and a rest. Rows that repeat are packed each. An empty table gives no piece.
     Pieces are written once; the histogram has at most `size` rows, whatever the input, and
     so bounds what the driver packs and what is sent to the tasks. A length may have any
-    share of the pieces.
+    share of the pieces: a piece is numbered by the task that cuts it, and a task's numbers of a length go on
+    from those of the tasks before it. These are a row for each task and length; while they are few, ids go
+    from the written pieces to the result without a shuffle, and beyond that in one.
     """
     body = F.col(f"`{text}`").alias("text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("row"), body)
     kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids
-    pieces = written(rows.mapInArrow(_cut(tokenizer, size, end_id, with_ids), schema), "pieces")
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    schema = f"row {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, task int, place bigint" + ", ids binary" * with_ids
+    pieces = written(rows.mapInArrow(_cut(tokenizer, size, end_id, with_ids, id_bytes), schema), "pieces")
+    of_task = written(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
+    histogram = {r["length"]: r["n"] for r in of_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = docs.sparkSession.createDataFrame(
         slots(shortest_pack_first(histogram, size)),
         "_length bigint, _first bigint, _end bigint, _copies bigint, _sequence bigint, _offset bigint",
     )
-    numbered = ranked(
-        pieces.withColumn("_h", F.xxhash64("row")), ["length"], ["ids_crc32", "start", "doc_tokens", "_h"], "_rank"
-    )
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = of_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    if of_task.count() <= BROADCAST_ROWS:
+        begins = F.broadcast(begins)
+    numbered = pieces.join(begins, ["task", "length"]).withColumn("_rank", F.col("_before") + F.col("place"))
     met = numbered.join(
         F.broadcast(places),
         (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")),

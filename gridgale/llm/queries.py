@@ -39,7 +39,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(documents(spark, sf_dir), carry=["doc_id"], with_ids=False)
+    packed = packing.pack_documents(documents(spark, sf_dir), carry=["doc_id"])
     return packed.select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridgale.llm import line_dedup, mixing, near_dedup, packing, toxicity
-from gridgale.llm.common import packed, unpacked
+from gridgale.llm.common import as_stage, packed, unpacked
 
 
 def _with_text(rows: DataFrame, text: Column) -> DataFrame:
@@ -17,18 +17,21 @@ def _with_text(rows: DataFrame, text: Column) -> DataFrame:
     return unpacked(rows, **changes)
 
 
+@as_stage
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to the table `labels`, doesn't take for toxic."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return unpacked(toxicity.score_documents(docs, model).where("score < 0.5").select("row"))
 
 
+@as_stage
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that other ones keep; a text may end up empty."""
     deduped = line_dedup.drop_repeated_lines(docs)
     return _with_text(deduped, F.col("kept_text"))
 
 
+@as_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id, and of rows that repeat
     it the one with the smallest text. Rows with a null id all stay."""
@@ -39,6 +42,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return unpacked(chosen.unionByName(rows.where("id IS NULL").select("row")))
 
 
+@as_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes; a document that it takes twice comes twice."""
     drawn = mixing.mixed_texts(mixing.mix_sources(docs))
@@ -47,6 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drawn.withColumn("n_chars", F.length("text").cast(drawn.schema["n_chars"].dataType))
 
 
+@as_stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids with their place in the packed sequences."""
     return packing.pack_documents(docs, carry=["doc_id"]).select(

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridgale.llm import line_dedup, near_dedup, perfect_hash, stages
+from gridgale.llm import common, line_dedup, near_dedup, perfect_hash, stages
 from textdata import COLUMNS, SCHEMA, odd_rows, prose, table
 
 SPACES = " \t\n\x0b\f\r"
@@ -165,3 +165,26 @@ def test_stages_keep_columns_and_one_of_each_group(spark):
     want = sorted({d for d, _, c in components_by_hand(rows) if d is not None and c == d}) + [None] * 3
     assert got == sorted(want, key=repr)
     assert {r["n_chars"] == len(r["text"]) for r in lines.collect()} == {True}
+
+
+def test_texts_with_very_many_shared_lines(spark):
+    lines = [f"line number {i} that is shared by all of the documents" for i in range(6000)]
+    rows = [(k, "\n".join(lines + [f"own {k}"] + [" " + lines[0].upper()]), "a") for k in range(5)]
+    got = line_dedup.drop_repeated_lines(table(spark, rows), carry=["doc_id"]).select("row.doc_id", "n_lines", "n_dropped", "kept_text")
+    want = [(k, 6002, 0 if k == 4 else 6001, rows[4][1] if k == 4 else f"own {k}") for k in range(5)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_inner_tables_go_once_the_next_stage_reads_what_was_written(spark, tmp_path, monkeypatch):
+    removed = []
+    monkeypatch.setattr(common, "remove", lambda _, path: removed.append(path))
+    app = spark.sparkContext.applicationId
+    common._left.pop(app, None)
+    rows = table(spark, odd_rows())
+    first = stages.without_shared_lines(spark, rows, "")
+    inner = [path for path, _ in common._left[app]]
+    stages.without_near_copies(spark, rows, "")  # documents that were not written
+    assert inner and removed == []
+    first.write.parquet(str(tmp_path / "first"))
+    stages.without_shared_lines(spark, spark.read.parquet(str(tmp_path / "first")), "")
+    assert set(inner) <= set(removed) and not {path for path, _ in common._left[app]} & set(removed)

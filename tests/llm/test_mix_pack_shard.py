@@ -145,8 +145,9 @@ def test_odd_documents_are_packed_whole(spark, monkeypatch):
     check_packs(pieces)
     got = defaultdict(list)
     for p in pieces:
-        assert p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes()) and len(p["ids"]) == p["length"]
-        got[(p["row"]["doc_id"], p["doc_tokens"], p["start"])].append(p["ids"])
+        ids = np.frombuffer(p["ids"], "<u2")
+        assert p["ids_crc32"] == zlib.crc32(ids.astype("<u4").tobytes()) and len(ids) == p["length"]
+        got[(p["row"]["doc_id"], p["doc_tokens"], p["start"])].append(ids.tolist())
     want = defaultdict(list)
     for d, t, _ in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]

@@ -7,7 +7,7 @@ import pytest
 
 import compare
 import corpus_pipeline
-from gridgale.llm import mixing, toxicity
+from gridgale.llm import mixing, packing, toxicity
 from gridgale.llm.common import documents, written
 from gridgale.llm.oracles import ORACLES
 from gridgale.llm.queries import QUERIES
@@ -62,8 +62,8 @@ def test_stages_do_what_they_say(spark):
     check_packs(pieces)
     per_doc = defaultdict(int)
     for p in pieces:
-        per_doc[p["doc_id"]] += len(p["ids"])
-        assert len(p["ids"]) == p["length"]
+        per_doc[p["doc_id"]] += len(p["ids"]) // packing.ID_BYTES
+        assert len(p["ids"]) == packing.ID_BYTES * p["length"]
     assert set(per_doc) == set(passes)
 
 
