@@ -88,8 +88,11 @@ def with_instants(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of a batch, and the old ones with other keys. A null is a key like any other."""
-    known = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    """The rows of a batch, and the old ones with other keys. A null is a key like any other.
+
+    Keys are as many as the rows of the batch, however small its files are, so they are sorted and never sent to all tasks.
+    """
+    known = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct().hint("merge")
     same = F.lit(True)
     for k in keys:
         same &= old[k].eqNullSafe(known[f"_{k}"])

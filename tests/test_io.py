@@ -7,7 +7,7 @@ from conftest import plan_of
 from gridgale.operators import merge
 from gridgale.plans import batch, storm_table
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
-from gridgale.session import shared_folder
+from gridgale.session import cut_lineage, shared_folder
 from gridgale.sources import coverage, readers, sinks
 from registry import fixture as fx
 
@@ -160,3 +160,11 @@ def test_landed_days_are_pruned_while_the_query_runs(spark, tmp_path):
 def test_shared_folder_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == configured.rstrip("/") if configured else shared_folder(spark)
+
+
+def test_landing_sends_no_keys_to_all_tasks(spark):
+    """However small the files of a batch are, its keys are as many as its rows."""
+    rows = observations(spark)
+    old, batch = cut_lineage(rows), cut_lineage(rows.where("u10 >= 24").withColumn("u10", F.lit(-1.0)))
+    merged = sinks.upsert(old, batch, ["time", "latitude", "longitude"])
+    assert merged.count() == rows.count() and "BroadcastExchange" not in plan_of(merged)
