@@ -56,13 +56,11 @@ def detections(storms: DataFrame, dt: float = 1.0, kind: str = "cyclonic") -> Da
     return found.withColumn("node", node_id(F.col("step"), F.col("idx")))
 
 
-def candidate_links(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) -> DataFrame:
-    """(`u`, `v`, `km`): nodes of consecutive steps, of one type and within reach.
+def _boxes(reach: float) -> tuple[Column, Column, Column, Column]:
+    """The boxes that a detection's reach touches, rows and columns, and the row and column of its own box.
 
-    The sphere is cut into boxes as high as the reach; a detection looks only into the
-    boxes its reach touches, so far pairs of a step never meet.
+    The sphere is cut into boxes as high as the reach.
     """
-    reach = prop_speed * dt
     delta = reach / RADIUS_TRACKS + 1e-9
     height = math.degrees(delta)
     boxes = max(1, int(360.0 / height))
@@ -84,25 +82,51 @@ def candidate_links(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_
             lambda b: F.pmod(b, F.lit(boxes).cast("long")),
         )
     )
+    return rows_near, columns_near, box(lat, height), F.pmod(box(lon, width), F.lit(boxes).cast("long"))
+
+
+def candidate_links(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) -> DataFrame:
+    """(`u`, `v`, `km`): nodes of consecutive steps, of one type and within reach.
+
+    A detection looks only into the boxes its reach touches, so far pairs of a step never meet. All pairs within
+    reach are rows, so in a crowd they grow with its square; `tracks.resolve` does without them.
+    """
+    reach = prop_speed * dt
+    rows_near, columns_near, own_row, own_column = _boxes(reach)
     from_side = (
         found.select(
             (F.col("step") + 1).alias("step"), "type", F.col("node").alias("u"),
-            lon.alias("ulon"), lat.alias("ulat"), rows_near.alias("_rows"), columns_near.alias("_columns"),
+            F.col("lon").alias("ulon"), F.col("lat").alias("ulat"), rows_near.alias("_rows"), columns_near.alias("_columns"),
         )
         .withColumn("_by", F.explode("_rows"))
         .withColumn("_bx", F.explode("_columns"))
         .drop("_rows", "_columns")
     )
     to_side = found.select(
-        "step", "type", F.col("node").alias("v"), lon.alias("vlon"), lat.alias("vlat"),
-        box(lat, height).alias("_by"),
-        F.pmod(box(lon, width), F.lit(boxes).cast("long")).alias("_bx"),
+        "step", "type", F.col("node").alias("v"), F.col("lon").alias("vlon"), F.col("lat").alias("vlat"),
+        own_row.alias("_by"), own_column.alias("_bx"),
     )
     met = from_side.join(to_side, ["step", "type", "_by", "_bx"])
     km = distance_km(F.col("ulon"), F.col("ulat"), F.col("vlon"), F.col("vlat"))
     return met.withColumn("km", km).where(F.col("km") <= F.lit(reach)).select("u", "v", "km")
 
 
+def steps_in_reach(found: DataFrame, dt: float = 1.0, prop_speed: float = PROP_SPEED) -> DataFrame:
+    """(`step`) for the steps that may be led to: a detection lies in a box that the reach of one of the step before touches.
+
+    Boxes meet, not detections: a crowd has few.
+    """
+    rows_near, columns_near, own_row, own_column = _boxes(prop_speed * dt)
+    touched = (
+        found.select((F.col("step") + 1).alias("step"), "type", rows_near.alias("_rows"), columns_near.alias("_columns")).distinct()
+        .withColumn("_by", F.explode("_rows"))
+        .withColumn("_bx", F.explode("_columns"))
+        .select("step", "type", "_by", "_bx")
+    )
+    own = found.select("step", "type", own_row.alias("_by"), own_column.alias("_bx")).distinct()
+    return own.join(touched, ["step", "type", "_by", "_bx"], "left_semi").select("step").distinct()
+
+
 def nearest_next(links: DataFrame) -> DataFrame:
     """For each node, the nearest node within reach in the next step; ties go to the first."""
     best = links.groupBy("u").agg(F.min(F.struct("km", "v")).alias("_b"))

@@ -112,3 +112,22 @@ def test_strip_keeps_whole_tracks(spark):
     frames = [[(105.0 + 0.3 * t, 15.0)] + ([(150.0, 15.0)] if t == 4 else []) for t in range(8)]
     kept = tracks.strip(tracks.track(detections(spark, frames)), d_tot_min=10.0, dur_min=3.0)
     assert [(r["track_id"], r["seq"]) for r in kept.orderBy("seq").collect()] == [(0, k) for k in range(8)]
+
+
+def test_a_crowd_is_followed_without_its_links(spark, monkeypatch):
+    """Detections at few places, many at each: pairs within reach would grow with the square of a step."""
+    def no_links(*_):
+        raise AssertionError("all pairs within reach")
+
+    monkeypatch.setattr(links, "candidate_links", no_links)
+    monkeypatch.setattr(tracks, "candidate_links", no_links, raising=False)
+    rnd = random.Random(8)
+    frames = [[(105.0 + rnd.randrange(3) * 0.5, 15.0 + rnd.randrange(3) * 0.5) for _ in range(30 + t)] for t in range(6)]
+    rows = tracks.track(detections(spark, frames)).collect()
+    assert {(int((r["time"] - START).total_seconds() // 3600), r["idx"]): r["track_id"] for r in rows} == brute.tracks(frames, 80.0)
+
+
+def test_detections_without_a_place_are_not_followed(spark):
+    frames = [[(105.0, 15.0), (None, 15.0)], [(105.0, float("nan")), (105.1, 15.0), (105.0, None)]]
+    rows = tracks.track(detections(spark, frames)).collect()
+    assert sorted((r["track_id"], r["seq"]) for r in rows) == [(0, 0), (0, 1), (1, 0), (2, 0), (3, 0)]
