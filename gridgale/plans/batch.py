@@ -24,12 +24,16 @@ def merge_job(
         sinks.write_files(joined, out, partitions)
 
 
-def store_for_merge(spark: SparkSession, weather_root: str, rain_root: str, weather_table: str, rain_table: str, buckets: int) -> None:
+def store_for_merge(spark: SparkSession, weather_root: str, rain_root: str, weather_table: str, rain_table: str, buckets: int | None = None) -> None:
     """Raw weather and rain as tables in equal buckets of the instant, for merges that need no shuffle.
 
+    Without a number given, there are as many `buckets` as the weather has rows for.
+
     Coordinates are no bucket keys: joins compare normalised floating point numbers, which have hashes of their own.
     """
-    sinks.write_bucketed(readers.read_weather(spark, weather_root), weather_table, ["time"], buckets)
+    weather = readers.read_weather(spark, weather_root)
+    buckets = buckets or sinks.buckets_for(weather)
+    sinks.write_bucketed(weather, weather_table, ["time"], buckets)
     sinks.write_bucketed(readers.read_rain(spark, rain_root), rain_table, ["valid_time"], buckets)
 
 

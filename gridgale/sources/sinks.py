@@ -14,6 +14,7 @@ from gridgale.session import cut_lineage
 from gridgale.sources import versions
 
 DAY_COLUMNS = ["year", "month", "day"]
+BUCKET_ROWS = 500_000  # rows of a bucket, of about 150 bytes each while they are sorted
 
 
 def with_day_columns(df: DataFrame, time_column: str = "time") -> DataFrame:
@@ -29,18 +30,19 @@ def write_files(df: DataFrame, path: str, partitions: int | None = None) -> None
 
 
 def write_by_day(
-    df: DataFrame, path: str, time_column: str = "time", mode: str = "overwrite", files_per_day: int | None = None
+    df: DataFrame, path: str, time_column: str = "time", mode: str = "overwrite", files_per_day: int | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Write year/month/day folders.
 
     Overwriting only replaces the days present in `df`, so loading a day again does
     not repeat its rows. Rows are brought together by day before they are written, so
     that folders hold few files; Spark sizes the pieces at run time and cuts a heavy
-    day into several. `files_per_day` fixes their number instead.
+    day into several. `files_per_day` fixes their number instead, and `tasks` that of the writing tasks.
     """
     df = with_day_columns(df, time_column)
     if files_per_day is None:
-        df = df.hint("rebalance", *DAY_COLUMNS)
+        df = versions.together(df, DAY_COLUMNS, tasks)
     else:
         row = F.xxhash64(*[c for c in df.columns if c not in DAY_COLUMNS])
         df = df.repartition(*DAY_COLUMNS, F.pmod(row, F.lit(files_per_day)))
@@ -50,6 +52,11 @@ def write_by_day(
     writer.parquet(path)
 
 
+def buckets_for(df: DataFrame, least: int = 8, rows: int = BUCKET_ROWS) -> int:
+    """A number of buckets that grows with the table, so that what one task sorts and merges does not."""
+    return max(least, -(-df.count() // rows))
+
+
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, **options: str) -> None:
     """Overwrite a catalog table with one file for each bucket of `keys`, sorted by them: tables with equal buckets of
     matching keys are joined as they lie, without a shuffle."""
@@ -120,7 +127,8 @@ def land(
         days = with_day_columns(batch, time_column).select(*DAY_COLUMNS).distinct()
         touched = old.join(days, DAY_COLUMNS, "left_semi").drop(*DAY_COLUMNS)
         df = cut_lineage(upsert(touched, batch, [time_column, *[k for k in keys if k in df.columns]]))
-    write_by_day(df, path, time_column, mode="append" if append else "overwrite")
+    counts = with_day_columns(df.select(time_column), time_column).groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
+    write_by_day(df, path, time_column, mode="append" if append else "overwrite", tasks=versions.writers(counts, "rows"))
 
 
 def land_versions(
@@ -135,8 +143,13 @@ def land_versions(
     known = versions.current(df.sparkSession, path, DAY_COLUMNS)
     old = None if known is None else versions.rows_of(df.sparkSession, path, known.join(days, DAY_COLUMNS, "left_semi"), DAY_COLUMNS)
     rows = batch if old is None else upsert(old, batch, [time_column, *[k for k in keys if k in df.columns]])
-    version = versions.add_rows(rows, path, DAY_COLUMNS)
-    versions.record(batch.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_landed")), path, version)
+    # No day has more rows than all batches brought it.
+    landed = batch.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_landed"))
+    before = None if known is None else versions.records(df.sparkSession, path).join(days, DAY_COLUMNS, "left_semi")
+    brought = landed if before is None else landed.unionByName(before.select(*landed.columns))
+    most = brought.groupBy(*DAY_COLUMNS).agg(F.sum("rows_landed").alias("rows"))
+    version = versions.add_rows(rows, path, DAY_COLUMNS, tasks=versions.writers(most, "rows"))
+    versions.record(landed, path, version)
 
 
 def append_table(df: DataFrame, table: str, fmt: str = "parquet", **options: str) -> None:

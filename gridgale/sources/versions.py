@@ -19,12 +19,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 VERSION, NUMBER = "_version", "_number"
+FOLDERS = 64  # folders of few rows that one task writes
+HEAVY = 1_000_000  # rows of a folder that are cut at run time
 
 
-def add_rows(df: DataFrame, path: str, parts: list[str], mode: str = "append") -> str:
+def writers(counts: DataFrame, rows: str) -> int | None:
+    """How many tasks write folders whose rows are counted in `counts`; none to be fixed where one is heavy."""
+    n, most = counts.agg(F.count(F.lit(1)), F.max(rows)).first()
+    return None if n and most > HEAVY else max(1, -(-n // FOLDERS))
+
+
+def together(df: DataFrame, parts: list[str], tasks: int | None = None) -> DataFrame:
+    """Rows of a folder brought together. Folders with few rows cost by their number, so they are dealt to a number of `tasks`;
+    else Spark sizes the pieces at run time and cuts heavy folders."""
+    return df.hint("rebalance", *parts) if tasks is None else df.repartition(tasks, *parts)
+
+
+def add_rows(df: DataFrame, path: str, parts: list[str], mode: str = "append", tasks: int | None = None) -> str:
     """Write new rows of some parts, which nobody reads yet. Returns their version."""
     version = uuid.uuid4().hex
-    df.withColumn(VERSION, F.lit(version)).hint("rebalance", *parts).write.mode(mode).partitionBy(*parts, VERSION).parquet(f"{path}/rows")
+    together(df.withColumn(VERSION, F.lit(version)), parts, tasks).write.mode(mode).partitionBy(*parts, VERSION).parquet(f"{path}/rows")
     return version
 
 

@@ -46,9 +46,10 @@ def joi1_rain_and_weather(spark: SparkSession, sf: str) -> DataFrame:
 def bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
     """Raw tables stored in equal buckets of the instant, and merged."""
     names = {n: f"{n}_{uuid.uuid4().hex}" for n in ("weather", "rain")}
+    tables = {"weather": fx.weather(spark, sf), "rain": fx.rain(spark, sf)}
+    buckets = sinks.buckets_for(tables["weather"], 8)
     for name, instant in (("weather", "time"), ("rain", "valid_time")):
-        table = getattr(fx, name)(spark, sf)
-        sinks.write_bucketed(table, names[name], [instant], 8, path=shared_path(spark, names[name]))
+        sinks.write_bucketed(tables[name], names[name], [instant], buckets, path=shared_path(spark, names[name]))
     return merge.merge_weather(spark.table(names["rain"]), spark.table(names["weather"]))
 
 

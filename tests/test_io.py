@@ -8,7 +8,7 @@ from gridgale.operators import merge
 from gridgale.plans import batch, storm_table
 from gridgale.schema import RAW_RAIN, RAW_WEATHER
 from gridgale.session import cut_lineage, shared_folder
-from gridgale.sources import coverage, readers, sinks
+from gridgale.sources import coverage, readers, sinks, versions
 from registry import fixture as fx
 
 SF = "/root/testdata/sf0.001"
@@ -168,3 +168,23 @@ def test_landing_sends_no_keys_to_all_tasks(spark):
     old, batch = cut_lineage(rows), cut_lineage(rows.where("u10 >= 24").withColumn("u10", F.lit(-1.0)))
     merged = sinks.upsert(old, batch, ["time", "latitude", "longitude"])
     assert merged.count() == rows.count() and "BroadcastExchange" not in plan_of(merged)
+
+
+def test_many_light_days_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "FOLDERS", 4)
+    dealt, was = [], versions.together
+    monkeypatch.setattr(versions, "together", lambda df, parts, tasks=None: (dealt.append(tasks), was(df, parts, tasks))[1])
+    rows = observations(spark, days=20)
+    for land in (sinks.land, sinks.land_versions):
+        for _ in range(2):
+            land(rows, str(tmp_path / land.__name__))
+    assert dealt == [5, 5, 5, 5]
+    monkeypatch.setattr(versions, "HEAVY", 40)  # known rows of a day, 24 in each of two batches
+    sinks.land_versions(rows.limit(1), str(tmp_path / "land_versions"))
+    sinks.land(rows, str(tmp_path / "land"))
+    assert dealt[4:] == [None, 5]
+    assert readers.read_landed(spark, str(tmp_path / "land_versions")).count() == readers.read_table_files(spark, str(tmp_path / "land")).count() == 480
+
+
+def test_buckets_grow_with_the_table(spark):
+    assert [sinks.buckets_for(spark.range(n), 8, rows=100) for n in (0, 800, 801, 5000)] == [8, 8, 9, 50]
