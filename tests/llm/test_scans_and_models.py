@@ -309,3 +309,21 @@ def test_a_document_alone_and_none(spark):
     one = fingerprints.compare_versions(table(spark, [(1, "abcdef ghi.", "s")])).first()
     assert one["near_next"] == 1.0 and one["edited_text"] == "abcdef gabc"
     assert fingerprints.compare_versions(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_all_labelled_rows_have_a_say(spark, monkeypatch):
+    """In several shards: words that only one of them has, and thresholds, come from all rows."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 200)
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    docs = [(i, f"the word{i % 60} of plain{i % 7} " + ("vile" if i % 3 == 0 else "kind"), "s") for i in range(1000)]
+    frame = table(spark, docs)
+    known = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1000)], "doc_id bigint, toxic int")
+    counted, was = [], toxicity._begun
+    monkeypatch.setattr(toxicity, "_begun", lambda counts, rows, *a: (counted.append(rows.sum()), was(counts, rows, *a))[1])
+    model = toxicity.fit(frame, known)
+    used = known.where(~toxicity.held_out(F.col("doc_id")) & (F.pmod(F.xxhash64(F.lit("aside"), "doc_id"), F.lit(5)) != 0)).count()
+    assert counted == [used] and used > 600
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(frame, model).select("row.doc_id", "score").collect()}
+    assert np.mean([(scores[i] >= 0.5) == (i % 3 == 0) for i in scores]) > 0.99
+    again = toxicity.fit(frame.repartition(3), known.repartition(5))
+    assert np.array_equal(again.words, model.words) and np.array_equal(again.thresholds, model.thresholds)
