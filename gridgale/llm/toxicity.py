@@ -346,8 +346,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     given = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     aside = F.pmod(F.xxhash64(F.lit("aside"), "key"), F.lit(5)) == 0
     shards = max(1, -(-usable.count() // SHARD_ROWS))
+    # Keys and labels, 12 bytes a row, go to the tasks, so that texts without a label are not shuffled.
     # Stored shard by shard, in an order that depends on the rows alone, so that each turn of training reads it as it lies.
-    joined = given.join(usable, "key").select(
+    joined = given.join(F.broadcast(usable), "key").select(
         "label", "key", aside.alias("aside"), F.pmod(F.xxhash64(F.lit("shard"), "key"), F.lit(shards)).alias("shard"),
         F.xxhash64(F.lit("train"), "key").alias("draw"), F.xxhash64("text").alias("t"), token_hashes(F.col("text")).alias("hashes"),
     )
