@@ -24,11 +24,12 @@ def join_rain(rain: DataFrame, weather: DataFrame) -> DataFrame:
     """Rain valid at an instant meets the weather observed at that instant, cell by cell.
 
     Rain is a forecast: its own `time` is the issue time, so its `valid_time` is
-    matched with the `time` of the weather.
+    matched with the `time` of the weather. Both have as many rows, however small the files of the rain are, so it
+    is merged by sort and never sent to all tasks.
     """
     r = known_rain(rain).select("latitude", "longitude", F.col("valid_time").alias("time"), "tp")
     w = weather.select("latitude", "longitude", "time", *JOINED_WEATHER)
-    return r.join(w, ["latitude", "longitude", "time"], "inner").select(
+    return r.hint("merge").join(w, ["latitude", "longitude", "time"], "inner").select(
         "latitude", "longitude", "time", *JOINED_WEATHER, "tp"
     )
 

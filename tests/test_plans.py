@@ -101,3 +101,7 @@ def test_words_that_do_not_scale_are_not_used(word):
 def test_nothing_is_collected_in_the_library():
     for path in LIBRARY:
         assert ".collect()" not in path.read_text(), path
+
+
+def test_rain_is_not_sent_to_all_tasks(spark):
+    assert "BroadcastExchange" not in plan_of(fx.joined(spark, SF)) + plan_of(bucketed_join(spark, SF))
