@@ -70,13 +70,16 @@ def _language_table() -> np.ndarray:
 
 
 def languages(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The language whose function words each text has most of; -1 where it has none."""
+    """The language whose function words each text has most of; -1 where it has none. Worked on CHUNK words at a time:
+    running counts over all words of a batch would take many times its own memory."""
     out = np.full(len(starts) - 1, -1)
     if not len(hashes):
         return out
-    table, first = _language_table(), _places(hashes)[0]
-    sums = np.stack([np.concatenate([[0], np.cumsum(row[first])]) for row in table])
-    votes = sums[:, starts[1:]] - sums[:, starts[:-1]]
+    table, votes = _language_table(), np.zeros((len(FUNCTION_WORDS), len(out)), np.int64)
+    for begin in range(0, len(hashes), CHUNK):
+        first, bounds = _places(hashes[begin : begin + CHUNK])[0], starts - begin
+        for row, of in zip(table, votes):
+            of += np.diff(np.searchsorted(np.flatnonzero(row[first]), bounds))
     return np.where(votes.max(axis=0) > 0, votes.argmax(axis=0), -1)
 
 

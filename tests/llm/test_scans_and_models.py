@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -327,3 +328,29 @@ def test_all_labelled_rows_have_a_say(spark, monkeypatch):
     assert np.mean([(scores[i] >= 0.5) == (i % 3 == 0) for i in scores]) > 0.99
     again = toxicity.fit(frame.repartition(3), known.repartition(5))
     assert np.array_equal(again.words, model.words) and np.array_equal(again.thresholds, model.thresholds)
+
+
+def test_languages_of_a_large_batch_take_little_memory(monkeypatch):
+    """Votes are those of plain counting, wherever parts of a batch begin, and memory doesn't follow its words."""
+    words = [w for text in toxicity.FUNCTION_WORDS.values() for w in text.split()] + ["tin", "rot"] * 20
+    known = {w: np.array(toxicity.xxhash.xxh64_intdigest(w.encode(), 42), np.uint64).view(np.int64) for w in words}
+    rng = random.Random(6)
+    texts = [[rng.choice(words) for _ in range(rng.choice([0, 1, 3, 40]))] for _ in range(300)]
+    names = list(toxicity.FUNCTION_WORDS)
+    want = []
+    for text in texts:
+        votes = [sum(w in toxicity.FUNCTION_WORDS[n].split() for w in text) for n in names]
+        want.append(votes.index(max(votes)) if max(votes) else -1)
+    hashes = np.array([known[w] for text in texts for w in text], np.int64)
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    for chunk in (1, 7, toxicity.CHUNK):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        assert toxicity.languages(hashes, starts).tolist() == want
+    monkeypatch.undo()
+    many, ends = np.resize(hashes, 2_000_000), np.arange(0, 2_000_001, 500)
+    toxicity.languages(hashes, starts)
+    tracemalloc.start()
+    toxicity.languages(many, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < many.nbytes
