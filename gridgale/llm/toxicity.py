@@ -377,15 +377,13 @@ def score_documents(docs: DataFrame, model: Model, carry: list[str] | None = Non
     Equal texts have equal scores. An empty table stays empty. The model, about 9 MB
     whatever the input, is sent to the tasks; texts are not shuffled.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("row"), token_hashes(F.col(f"`{text}`")).alias("hashes")
-    )
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets = batch["hashes"].offsets.to_numpy().astype(np.int64)
-            hashes = batch["hashes"].values.to_numpy()[offsets[0] : offsets[-1]]
-            scores = model.scores(hashes, offsets - offsets[0]) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(scores, pa.float64())], names=["row", "score"])
-
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(score, f"row {kind}, score double")
+    # Only hashes go to Python, a batch at a time; what is carried waits in Spark's own memory. Said not to be
+    # deterministic, so that a filter on the score does not have it computed twice.
+    @F.arrow_udf("double")
+    def score(hashes: pa.Array) -> pa.Array:
+        offsets = hashes.offsets.to_numpy().astype(np.int64)
+        values = hashes.values.to_numpy()[offsets[0] : offsets[-1]]
+        return pa.array(model.scores(values, offsets - offsets[0]) if len(hashes) else np.zeros(0), pa.float64())
+
+    row = F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("row")
+    return docs.select(row, score.asNondeterministic()(token_hashes(F.col(f"`{text}`"))).alias("score"))

@@ -354,3 +354,16 @@ def test_languages_of_a_large_batch_take_little_memory(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < many.nbytes
+
+
+def test_carried_columns_do_not_go_to_python(spark):
+    """Only words are sent to be scored, once, also where documents are filtered by score and go on whole."""
+    sure = toxicity._sure(1)
+    docs = table(spark, odd_rows())
+    scored = toxicity.score_documents(docs, sure)
+    kept = scored.where("score >= 0.5")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    sent = plan[plan.index("ArrowEvalPython"):].split("\n")[0]
+    assert "struct" not in sent and "row#" not in sent
+    assert sorted(map(repr, (tuple(r["row"]) for r in kept.collect()))) == sorted(map(repr, (tuple(r) for r in docs.collect())))
