@@ -12,7 +12,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +112,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _piece(tokenizer, letters: dict[int, str], piece: str) -> bytes:
+    mapped = piece.encode().decode("latin-1").translate(letters)
+    return np.array([t.id for t in tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+
+
 class WordEncoder:
     """The ids of words, as little-endian 32-bit numbers.
 
@@ -124,7 +129,8 @@ class WordEncoder:
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         self.letters = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.piece = lru_cache(REMEMBERED)(self._piece)
+        # Made from the parts and not from the encoder, which would then hold itself and stay after its task.
+        self.piece = lru_cache(REMEMBERED)(partial(_piece, tokenizer, self.letters))
 
     @staticmethod
     def _is_known(tokenizer) -> bool:
@@ -132,10 +138,6 @@ class WordEncoder:
         parts = repr(tokenizer.normalizer), repr(tokenizer.pre_tokenizer)
         return all(k in parts[0] for k in ("NFC", "Lowercase")) and r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]" in parts[1]
 
-    def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-
     def word(self, word: str) -> bytes:
         low = word.lower()
         if self.plain and "<|" not in word and PLAIN.fullmatch(low):

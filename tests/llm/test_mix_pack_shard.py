@@ -1,6 +1,8 @@
 """Mixing, packing and sharding against plain Python."""
 
+import gc
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -213,3 +215,16 @@ def test_shards_of_odd_documents(spark):
 def test_mixing_stage_keeps_columns(spark):
     out = stages.mixed(spark, table(spark, odd_rows()), "")
     assert out.columns == COLUMNS and all(r["n_chars"] == len(r["text"]) for r in out.collect())
+
+
+def test_an_encoder_ends_with_its_task():
+    """It holds a tokenizer of some 40 MB, which workers that are used again would gather."""
+    encoder = packing.WordEncoder(packing._tokenizer(packing.TOKENIZER))
+    assert encoder.word("Plain") == encoder.word("plain") != b""
+    gone = weakref.ref(encoder)
+    gc.disable()
+    try:
+        del encoder
+        assert gone() is None
+    finally:
+        gc.enable()
