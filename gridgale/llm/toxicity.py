@@ -251,7 +251,7 @@ def _by_shard(work: Callable[[list[np.ndarray], np.ndarray], dict]) -> Callable[
                 if shard != at:
                     yield from done()
                     at, texts, labels = shard, [], []
-                texts.append(np.array(text.values.to_numpy(zero_copy_only=False), np.int64))
+                texts.append(text.values.to_numpy())  # where it lies in the batch, not copied
                 labels.append(label)
         yield from done()
 
