@@ -7,9 +7,11 @@ and how often the parse uses each. Phrases of up to five words are counted insid
 distinct chunks, times their use. A phrase belongs to the chunk in which it begins before the last four
 words (in a piece's last chunk, anywhere), so what lies in an overlap counts once.
 
-A phrase cannot be frequent unless each pair of neighbours in it is. So pairs are counted first, by
-hashes alone, and only phrases made of frequent pairs are counted by their words; a
-hash that two pairs share lets a few more through, and changes no count.
+A phrase cannot be frequent unless each of its words is. So words are counted first, and the frequent
+ones get numbers. Each place of a chunk gives one row, its window: the numbers of up to five words from there
+on, as far as they are frequent. Windows that begin with the same pair of words meet in one task, where, once they are
+sorted, the windows of a phrase are neighbours. So there are no more rows than places, and a task sends on
+only phrases that are frequent. Pairs that begin a very large share of a sample's windows are dealt by their third word too.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridgale.llm.common import mix64, written
+from gridgale.llm.common import ranked, written
 
 LEAST = 100  # occurrences of a candidate
 LONGEST = 5  # words of a phrase
@@ -34,9 +36,14 @@ TOP = 2000  # phrases of a language
 OVERLAP = LONGEST - 1
 TRIGGER = 16  # a chunk has about so many words besides its overlap; shorter pieces are not cut
 MOST_WORDS = 256  # a chunk without a trigger is cut here
-FEW_PAIRS = 1_000_000  # frequent pairs that are sent to all tasks (8 MB); more are joined
+FEW_PAIRS = 1_000_000  # pairs of a language and a frequent word that are sent to all tasks; more are joined
 BATCH_BYTES = 8 << 20
+SAMPLED = 50_000  # chunks, about, that tell how many windows there are and which pairs begin very many
+PART_WINDOWS = 400_000  # windows of a task, about
+HEAVY_WINDOWS = 200_000  # a pair that begins more is dealt over tasks
+BLOCK_BYTES = 32 << 20  # windows that a task sorts at once
 DISTINCT, HELD_BYTES = 400_000, 32 << 20  # pieces, and bytes of texts, that a task counts before it sends them on
+KEYS = ["front", "middle", "end"]  # the columns of a window
 # What parts pieces of a text.
 BREAK = re.compile(rb"[.,;:!?\n-\r]")
 
@@ -88,13 +95,13 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from parsed()
 
 
-def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _larger(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.Table]:
     """Batches put together, since what a task counts at once is sent on once."""
-    held, size = [], 0
+    held, size, most = [], 0, most or BATCH_BYTES
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size >= BATCH_BYTES:
+        if size >= most:
             yield pa.Table.from_batches(held)
             held, size = [], 0
     if held:
@@ -118,13 +125,6 @@ class Words:
         self.left = size[self.chunk] - self.place  # words from here to the chunk's end
         self.begins = last[self.chunk] | (self.left > OVERLAP)  # whether phrases that begin here are the chunk's own
 
-    def pair_hashes(self) -> np.ndarray:
-        """A hash of language, word and next word; of a chunk's last word, nothing of worth."""
-        word = pd.util.hash_array(np.array(self.known.to_pylist(), object), categorize=False)[self.ids] if len(self.ids) else np.zeros(0, np.uint64)
-        lang = pd.util.hash_array(np.array(self.langs, object), categorize=False)[self.lang] if len(self.ids) else word
-        after = np.roll(word, -1)
-        return (mix64(mix64(word + lang) * np.uint64(3) + after)).view(np.int64)
-
     def summed(self, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the places `at`: a place of each different key, the key's number by place, and its uses."""
         _, first, number = np.unique(key[at], return_index=True, return_inverse=True)
@@ -141,64 +141,123 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "uses"])
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in _larger(batches):
-        words = Words(table)
-        hashes = words.pair_hashes()
-        at, _, uses = words.summed(hashes, np.flatnonzero(words.begins & (words.left > 1)))
-        yield pa.RecordBatch.from_arrays([pa.array(hashes[at]), pa.array(uses)], names=["pair", "uses"])
+class Windows:
+    """Windows as three numbers each, which hold two or three words of `bits` bits; 0 where a window is shorter."""
+
+    def __init__(self, numbers: int):
+        self.bits = max(1, numbers.bit_length())
+        self.each = 3 if self.bits <= 21 else 2
+
+    def at(self, i: int) -> tuple[int, int]:
+        """Which number holds word `i`, and the bits below the word."""
+        return i // self.each, self.bits * (self.each - 1 - i % self.each)
 
+    def packed(self, words: list[np.ndarray]) -> list[np.ndarray]:
+        out = [np.zeros(len(words[0]), np.int64) for _ in KEYS]
+        for i, word in enumerate(words):
+            key, below = self.at(i)
+            out[key] |= word << below
+        return out
 
-def _place_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(`id` of the chunk, `place`, `pair`) for all pairs."""
+    def masks(self, n: int) -> list[int]:
+        """What the first `n` words take of each number."""
+        out = [0 for _ in KEYS]
+        for i in range(n):
+            key, below = self.at(i)
+            out[key] |= ((1 << self.bits) - 1) << below
+        return out
+
+    def word(self, i: int) -> Column:
+        key, below = self.at(i)
+        return F.shiftright(KEYS[key], below).bitwiseAND((1 << self.bits) - 1)
+
+    def pair(self) -> Column:
+        """The first two words."""
+        return F.shiftright(KEYS[0], self.at(1)[1])
+
+
+def _place_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(`id` of the chunk, `place`, `lang`, `phrase`) for all words."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
         words = Words(table)
-        at = np.flatnonzero(words.left > 1)
-        columns = [table["id"].combine_chunks().take(pa.array(words.chunk[at])), pa.array(words.place[at].astype(np.int32)), pa.array(words.pair_hashes()[at])]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "pair"])
+        chunk = pa.array(words.chunk)
+        columns = [table["id"].combine_chunks().take(chunk), pa.array(words.place.astype(np.int32)), table["lang"].combine_chunks().take(chunk), words.known.take(pa.array(words.ids))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "lang", "phrase"])
 
 
-def _count_phrases(frequent: np.ndarray | None) -> Callable:
-    """Counts of phrases of two words and more; pairs are frequent when among the sorted hashes, or else
-    where the column `places` says so."""
+def _windows(form: Windows, frequent: dict[str, tuple[pa.Array, np.ndarray]] | None) -> Callable:
+    """The windows of two words and more; the numbers of frequent words are by language in `frequent`, or else
+    in the column `places`."""
 
-    def marked(words: Words, table: pa.Table) -> np.ndarray:
+    def numbered(words: Words, table: pa.Table) -> np.ndarray:
+        out = np.zeros(len(words.ids), np.int64)
         if frequent is None:
-            out = np.zeros(len(words.ids), bool)
             begin = np.searchsorted(words.chunk, np.arange(len(table)))
             places = table["places"].combine_chunks()
-            out[np.repeat(begin, pc.list_value_length(places).to_numpy()) + places.flatten().to_numpy()] = True
+            of = places.flatten()
+            out[np.repeat(begin, pc.list_value_length(places).to_numpy()) + of.field("place").to_numpy()] = of.field("number").to_numpy()
             return out
-        if not len(frequent):
-            return np.zeros(len(words.ids), bool)
-        hashes = words.pair_hashes()
-        near = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        return (frequent[near] == hashes) & (words.left > 1)
+        number = np.zeros(len(words.known), np.int64)
+        for i, lang in enumerate(words.langs):
+            if lang in frequent:
+                at = np.flatnonzero(words.lang == i)
+                ids = pd.unique(words.ids[at])
+                spelled, numbers = frequent[lang]
+                found = pc.index_in(words.known.take(pa.array(ids)), value_set=spelled).fill_null(-1).to_numpy()
+                number[ids] = np.where(found < 0, 0, numbers[found])
+                out[at] = number[words.ids[at]]
+        return out
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _larger(batches):
             words = Words(table)
-            pair = marked(words, table)
-            known = words.known.to_pylist()
-            key = words.lang * len(known) + words.ids
-            at = np.flatnonzero(words.begins)
-            for n in range(2, LONGEST + 1):
-                # A phrase grows by a word where the next pair is frequent too.
-                at = at[np.append(pair, np.zeros(LONGEST, bool))[at + n - 2]]
-                if not len(at):
-                    break
-                longer = np.zeros(len(key), np.int64)
-                longer[at] = key[at] * len(known) + words.ids[at + n - 1]
-                first, number, uses = words.summed(longer, at)
-                key = np.zeros(len(key), np.int64)
-                key[at] = number
-                spelled = [" ".join([known[i] for i in one]) for one in words.ids[first[:, None] + np.arange(n)].tolist()]
-                columns = [
-                    pa.array([words.langs[i] for i in words.lang[first]], pa.string()), pa.array(spelled, pa.string()),
-                    pa.array(np.full(len(first), n, np.int32)), pa.array(uses),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "uses"])
+            number = np.append(numbered(words, table), np.zeros(LONGEST, np.int64))
+            at = np.flatnonzero(words.begins & (words.left > 1) & (number[:-LONGEST] > 0) & (number[1:1 - LONGEST] > 0))
+            left, window = words.left[at], []
+            going = np.ones(len(at), bool)
+            for i in range(LONGEST):
+                window.append(np.where(going & (left > i), number[at + i], 0))
+                going = window[-1] > 0
+            columns = [pa.array(c) for c in [*form.packed(window), words.uses[at]]]
+            yield pa.RecordBatch.from_arrays(columns, names=[*KEYS, "uses"])
+
+    return work
+
+
+def _count_windows(form: Windows, heavy: np.ndarray, least: int) -> Callable:
+    """Phrases that begin windows, and their uses: frequent ones, and those of which other tasks or blocks may count more."""
+
+    def counted(table: pa.Table, parted: bool) -> Iterator[pa.RecordBatch]:
+        keys = [table[k].to_numpy() for k in KEYS]
+        order = np.lexsort(keys[::-1])
+        keys, uses = [k[order] for k in keys], table["uses"].to_numpy()[order]
+        differ = [k[1:] ^ k[:-1] for k in keys]
+        for n in range(2, LONGEST + 1):
+            masks = form.masks(n)
+            new = np.zeros(len(uses), bool)
+            new[0] = True
+            for d, m in zip(differ, masks):
+                new[1:] |= (d & m) != 0
+            first = np.flatnonzero(new)
+            total = np.add.reduceat(uses, first)
+            key, below = form.at(n - 1)
+            sent = (total >= least) | parted
+            if n == 2:
+                sent |= np.isin(keys[0][first] >> below, heavy)
+            sent &= (keys[key][first] >> below) & ((1 << form.bits) - 1) > 0
+            first, total = first[sent], total[sent]
+            columns = [*[k[first] & m for k, m in zip(keys, masks)], np.full(len(first), n, np.int32), total]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*KEYS, "words", "uses"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _larger((b for b in batches if len(b)), BLOCK_BYTES)
+        block, parted = next(blocks, None), False
+        while block is not None:
+            after = next(blocks, None)
+            parted |= after is not None
+            yield from counted(block, parted)
+            block = after
 
     return work
 
@@ -211,19 +270,47 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     return written(used.withColumn("id", F.monotonically_increasing_id()), "chunks")
 
 
-def frequent_phrases(chunked: DataFrame, least: int = LEAST) -> DataFrame:
-    """(`lang`, `phrase`, `words`, `a`): phrases of two words and more that occur at least `least` times."""
-    paired = chunked.mapInArrow(_count_pairs, "pair bigint, uses bigint")
-    pairs = written(paired.groupBy("pair").agg(F.sum("uses").alias("n")).where(F.col("n") >= least).select("pair"), "pairs")
-    schema = "lang string, phrase string, words int, uses bigint"
-    if pairs.count() <= FEW_PAIRS:
-        frequent = np.sort(np.array([r[0] for r in pairs.collect()], np.int64))
-        counted = chunked.mapInArrow(_count_phrases(frequent), schema)
+def numbered_words(words: DataFrame) -> DataFrame:
+    """`words` with a `number` each: 1, 2, 3, ... without gaps."""
+    dealt = ranked(words.withColumn("_all", F.lit(0)), ["_all"], ["lang", "phrase"], "number")
+    return written(dealt.select("lang", "phrase", (F.col("number") + 1).alias("number")), "numbers")
+
+
+def frequent_phrases(chunked: DataFrame, words: DataFrame, least: int = LEAST) -> DataFrame:
+    """(`lang`, `phrase`, `words`, `a`): phrases of two words and more that occur at least `least` times, made of `words`."""
+    numbers = numbered_words(words)
+    many = numbers.count()
+    form = Windows(many)
+    schema = ", ".join(f"{c} bigint" for c in [*KEYS, "uses"])
+    if many <= FEW_PAIRS:
+        known = numbers.toArrow().to_pandas()
+        frequent = {lang: (pa.array(of["phrase"], pa.string()), of["number"].to_numpy()) for lang, of in known.groupby("lang")}
+
+        def windows(of: DataFrame) -> DataFrame:
+            return of.mapInArrow(_windows(form, frequent), schema)
     else:
-        places = chunked.mapInArrow(_place_pairs, "id bigint, place int, pair bigint").join(pairs, "pair", "left_semi")
-        of_chunk = places.groupBy("id").agg(F.collect_list("place").alias("places"))
-        counted = chunked.join(of_chunk, "id").mapInArrow(_count_phrases(None), schema)
-    return counted.groupBy("lang", "phrase", "words").agg(F.sum("uses").alias("a")).where(F.col("a") >= least)
+        def windows(of: DataFrame) -> DataFrame:
+            places = of.mapInArrow(_place_words, "id bigint, place int, lang string, phrase string").join(numbers, ["lang", "phrase"])
+            of_chunk = places.groupBy("id").agg(F.collect_list(F.struct("place", "number")).alias("places"))
+            return of.join(of_chunk, "id").mapInArrow(_windows(form, None), schema)
+
+    # The sample deals windows to tasks, and has no say in what is counted.
+    step = max(1, chunked.count() // SAMPLED)
+    sampled = windows(chunked.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0))
+    begun = sampled.groupBy(form.pair().alias("pair")).agg((F.count("*") * step).alias("n"))
+    size, heavy = begun.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > HEAVY_WINDOWS, F.col("pair")))).first()
+    deal = form.pair()
+    if heavy:
+        deal = F.when(deal.isin(heavy), F.xxhash64(deal, form.word(2))).otherwise(deal)
+    dealt = windows(chunked).repartition(max(1, (size or 0) // PART_WINDOWS), deal)
+    sums = dealt.mapInArrow(_count_windows(form, np.array(heavy, np.int64), least), schema.replace("uses", "words int, uses"))
+    counted = sums.groupBy(*KEYS, "words").agg(F.sum("uses").alias("a")).where(F.col("a") >= least)
+    # A phrase is spelled by its numbers.
+    spelled = counted.select("*", F.posexplode(F.slice(F.array(*[form.word(i) for i in range(LONGEST)]), F.lit(1), F.col("words"))).alias("at", "number"))
+    spelled = spelled.join(numbers, "number").groupBy(*KEYS, "words", "a").agg(
+        F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "phrase"))).alias("spelled")
+    )
+    return spelled.select("lang", F.array_join("spelled.phrase", " ").alias("phrase"), "words", "a")
 
 
 def _scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
@@ -272,9 +359,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     chunked = chunk_dictionary(docs, text, lang)
     counted = chunked.mapInArrow(_count_words, "lang string, phrase string, uses bigint")
     words = written(counted.groupBy("lang", "phrase").agg(F.sum("uses").alias("a")), "words")
-    phrases = written(frequent_phrases(chunked, least), "phrases")
+    often = words.where(F.col("a") >= least)
+    phrases = written(frequent_phrases(chunked, often, least), "phrases")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
-    best = _scored(phrases, words.where(F.col("a") >= least), totals)
+    best = _scored(phrases, often, totals)
     kept = best.join(_maximal(phrases).select("lang", "phrase"), ["lang", "phrase"])
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # Each of 64 parts gives its best, so that a language's last sort has a bounded number of rows.

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from gridgale.llm import collocations
@@ -101,3 +102,48 @@ def test_products_beyond_64_bits(spark):
 
 def test_empty_table(spark):
     assert collocations.collocations(table(spark, [])).count() == 0
+
+
+def test_rows_sent_grow_with_the_input(spark, monkeypatch):
+    """Five times the text gives about five times the rows at each step, though more phrases are frequent in it."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice("opqrstuvwxyz") for _ in range(60)), "a") for i in range(250)]
+    frame, sent = type(spark.range(1)), []
+    plain = frame.mapInArrow
+
+    def counted(self, func, schema, *args, **kwargs):
+        out = plain(self, func, schema, *args, **kwargs)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    for some in (rows[:50], rows):
+        sent.append([])
+        got = collocations.collocations(with_langs(spark, some), least=40)
+        assert sorted(map(tuple, got.collect())) == phrases_by_hand(of(some), 40)
+    cut = len(sent) // 2
+    small, large = sent[1:cut], sent[cut + 1:]
+    assert len(small) == len(large) > 2
+    assert all(b <= 6 * a for a, b in zip(small, large) if b > 1000)
+
+
+@pytest.mark.parametrize("name, most", [("HEAVY_WINDOWS", 5), ("BLOCK_BYTES", 400), ("SAMPLED", 10)])
+def test_pairs_in_many_windows_and_tasks_in_many_blocks(spark, monkeypatch, name, most):
+    monkeypatch.setattr(collocations, "HEAVY_WINDOWS", 1000)
+    monkeypatch.setattr(collocations, "PART_WINDOWS", 200)
+    monkeypatch.setattr(collocations, name, most)
+    rows = wordy_rows()
+    got = collocations.collocations(with_langs(spark, rows), least=3)
+    assert sorted(map(tuple, got.collect())) == phrases_by_hand(of(rows), 3)
+
+
+@pytest.mark.parametrize("numbers", [1, 7, (1 << 21) - 1, 1 << 21, (1 << 31) - 1])
+def test_windows_keep_their_words(spark, numbers):
+    form = collocations.Windows(numbers)
+    words = [numbers, 1, max(1, numbers // 2), numbers, 0]
+    keys = form.packed([np.array([w], np.int64) for w in words])
+    row = spark.createDataFrame([tuple(int(k[0]) for k in keys)], ", ".join(f"{k} bigint" for k in collocations.KEYS))
+    read = row.select(*[form.word(i) for i in range(5)], form.pair()).first()
+    assert list(read)[:5] == words
+    assert read[5] == int(keys[0][0]) >> form.at(1)[1] and int(keys[0][0]) >= 0
+    assert [int(k[0]) & m for k, m in zip(keys, form.masks(2))] == [int(k[0]) for k in form.packed([np.array([w], np.int64) for w in [*words[:2], 0, 0, 0]])]
