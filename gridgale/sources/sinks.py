@@ -144,11 +144,11 @@ def land_versions(
     old = None if known is None else versions.rows_of(df.sparkSession, path, known.join(days, DAY_COLUMNS, "left_semi"), DAY_COLUMNS)
     rows = batch if old is None else upsert(old, batch, [time_column, *[k for k in keys if k in df.columns]])
     # No day has more rows than all batches brought it.
-    landed = batch.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_landed"))
+    landed = cut_lineage(batch.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_landed")))
     before = None if known is None else versions.records(df.sparkSession, path).join(days, DAY_COLUMNS, "left_semi")
     brought = landed if before is None else landed.unionByName(before.select(*landed.columns))
-    most = brought.groupBy(*DAY_COLUMNS).agg(F.sum("rows_landed").alias("rows"))
-    version = versions.add_rows(rows, path, DAY_COLUMNS, tasks=versions.writers(most, "rows"))
+    most = cut_lineage(brought.groupBy(*DAY_COLUMNS).agg(F.sum("rows_landed").alias("rows")))
+    version = versions.add_rows(rows, path, DAY_COLUMNS, tasks=versions.writers(most, "rows"), counts=most)
     versions.record(landed, path, version)
 
 

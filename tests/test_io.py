@@ -186,5 +186,40 @@ def test_many_light_days_are_written_by_many_tasks(spark, tmp_path, monkeypatch)
     assert readers.read_landed(spark, str(tmp_path / "land_versions")).count() == readers.read_table_files(spark, str(tmp_path / "land")).count() == 480
 
 
+def test_light_days_of_a_month_share_a_file(spark, tmp_path):
+    """Files of landed versions grow with months, not with days."""
+    path, rows = tmp_path / "kept", observations(spark, days=60)  # 2 days in 2023, 58 in January and February
+    for part in ("hour(time) < 12", "hour(time) >= 12"):
+        sinks.land_versions(rows.where(part), str(path))
+    written = [f for f in path.rglob("*.parquet") if "records" not in f.parts]
+    assert len(written) == 2 * 3
+    got = readers.read_landed(spark, str(path))
+    assert got.count() == 60 * 24 and got.select("time").distinct().count() == 60 * 24
+    assert got.where("day(time) <> day OR month(time) <> month OR year(time) <> year").count() == 0
+
+
+def test_light_and_heavy_days_land_side_by_side(spark, tmp_path, monkeypatch):
+    kept, plain = str(tmp_path / "kept"), str(tmp_path / "plain")
+    rows = observations(spark, days=8).withColumn("latitude", F.when(F.col("u10") % 5 != 0, F.col("latitude")))
+    even, other = "day(time) % 2 = 0", F.col("u10") * -1
+    batches = (
+        (0, rows.where("day(time) < 20")),  # a folder for each day, as all tables had
+        (24, rows.where("hour(time) < 12")),  # with the rows before some days have more, others not
+        (40, rows.where(even).withColumn("u10", other)),
+        (10_000, rows.where("NOT " + even).where("hour(time) >= 6").withColumn("u10", other)),
+    )
+    days = spark.createDataFrame([(dt.date(2023, 12, 31),), (dt.date(2024, 1, 4),)], "day date")
+    for light, batch in batches:
+        monkeypatch.setattr(versions, "LIGHT", light)
+        for land, path in ((sinks.land_versions, kept), (sinks.land, plain)):
+            land(batch, path)
+        got, want = readers.read_landed(spark, kept), readers.read_table_files(spark, plain).select("year", "month", "day", "time", "latitude", "longitude", "u10")
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+        some = readers.read_landed(spark, kept, days).select(want.columns)
+        assert sorted(map(str, some.collect())) == sorted(map(str, want.where("to_date(time) IN ('2023-12-31', '2024-01-04')").collect()))
+    both = [{p.parent.name for p in (tmp_path / "kept" / kind).rglob("*.parquet")} for kind in ("rows", "light")]
+    assert both[0] & both[1] and len(both[0] | both[1]) == 4
+
+
 def test_buckets_grow_with_the_table(spark):
     assert [sinks.buckets_for(spark.range(n), 8, rows=100) for n in (0, 800, 801, 5000)] == [8, 8, 9, 50]
